@@ -29,6 +29,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import contamination
+
+    return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import components
+
+    return components(_read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judge
 
@@ -44,6 +56,8 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_decontamination": op3_decontamination,
+    "op4_simhash_dedup": op4_simhash_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_output": op8_token_output,
 }
