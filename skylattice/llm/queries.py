@@ -41,6 +41,12 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(_read(spark, sf_dir, "documents"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_model import score
+
+    return score(_read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judge
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_decontamination": op3_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_language_model": op5_language_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_output": op8_token_output,
 }
