@@ -59,6 +59,12 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(_read(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import digest
+
+    return digest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_model": op5_language_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_output": op8_token_output,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
