@@ -47,6 +47,12 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_read(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import score
+
+    return score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judge
 
@@ -59,21 +65,36 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(_read(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_format import chat_format
+
+    return chat_format(_read(spark, sf_dir, "conversations"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import digest
 
     return digest(_read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_decontamination": op3_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_language_model": op5_language_model,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_output": op8_token_output,
+    "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": pipeline,
 }
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
