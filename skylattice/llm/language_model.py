@@ -52,10 +52,10 @@ class Block:
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> "Block":
         w = text.split_words(batch.column(1), lower=True)
-        idx, distinct = w.encoded()
-        hashes = np.append(text.hashed(distinct), END)
+        idx, distinct = text.by_frequency(*w.encoded())
+        hashes = np.insert(text.hashed(distinct), 0, END)  # number 0 ends a text
         ids = batch.column(0).to_pylist()
-        idx = np.insert(idx, w.first[1:], len(distinct))
+        idx = np.insert(idx + 1, w.first[1:], 0)
         return cls(text.ids(batch.column(0)), np.array([held_out(i) for i in ids], bool), np.diff(w.first) + 1, idx, hashes)
 
     def dump(self) -> bytes:

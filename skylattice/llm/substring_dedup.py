@@ -58,7 +58,7 @@ class Block:
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> "Block":
         w = text.split_words(batch.column(1))
-        idx, distinct = w.encoded()
+        idx, distinct = text.by_frequency(*w.encoded())
         return cls(text.ids(batch.column(0)), w.first, idx, text.hashed(distinct))
 
     def dump(self) -> bytes:

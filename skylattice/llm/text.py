@@ -87,6 +87,14 @@ def _edges(word: np.ndarray, at: np.ndarray) -> np.ndarray:
     return edge
 
 
+def by_frequency(idx: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The same words, numbered from the most frequent on: small numbers, which compress well."""
+    order = np.argsort(-np.bincount(idx, minlength=len(distinct)), kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return number[idx], distinct.take(pa.array(order))
+
+
 def hashed(words: pa.Array, seed: int = 0) -> np.ndarray:
     """XXH64 of each of the (distinct) words."""
     data, offsets = raw(words)
