@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Fixed values of the domain: sentinels, reflectance scale, bands by resolution.
 NODATA = -10000
@@ -20,23 +19,20 @@ BANDS_20M = ("B5", "B6", "B7", "B8A", "B11", "B12")
 MASKS = ("CLM_R1", "CLM_R2")
 
 
-def _struct(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
-
-
-GEOREF = _struct("x0 double, dx double, rx double, y0 double, ry double, dy double, crs string, driver string")
-PIXELS = _struct("tile string, date date, band string, y int, x int, value int")
-BLOCKS = _struct("tile string, date date, band string, by int, bx int, h int, w int, data binary")
-MASK = _struct("tile string, y int, x int, flag int")
-SCENES = _struct("tile string, date date, scene_id string, path string")
-SCENE_FILES = _struct("path string, tile string, date date, band string, is_mask boolean, resolution string")
-OBSERVATIONS = _struct("tile string, pixel_id bigint, band string, t int, valid boolean, value int")
-FEATURES = _struct("tile string, pixel_id bigint, feature string, t int, value double")
-LABELS = _struct("tile string, split string, y int, x int, label int")
-NOMENCLATURE = _struct("code int, abbreviation string")
-CLASS_MAP = _struct("tile string, y int, x int, label int, prob int, label2 int, prob2 int")
-CONFUSION = _struct("gt int, pred int, n bigint")
-MANIFEST = _struct("step string, tile string, args map<string,string>")
+# Schemas are DDL text, which readers and createDataFrame take as it is.
+GEOREF = "x0 double, dx double, rx double, y0 double, ry double, dy double, crs string, driver string"
+PIXELS = "tile string, date date, band string, y int, x int, value int"
+BLOCKS = "tile string, date date, band string, by int, bx int, h int, w int, data binary"
+MASK = "tile string, y int, x int, flag int"
+SCENES = "tile string, date date, scene_id string, path string"
+SCENE_FILES = "path string, tile string, date date, band string, is_mask boolean, resolution string"
+OBSERVATIONS = "tile string, pixel_id bigint, band string, t int, valid boolean, value int"
+FEATURES = "tile string, pixel_id bigint, feature string, t int, value double"
+LABELS = "tile string, split string, y int, x int, label int"
+NOMENCLATURE = "code int, abbreviation string"
+CLASS_MAP = "tile string, y int, x int, label int, prob int, label2 int, prob2 int"
+CONFUSION = "gt int, pred int, n bigint"
+MANIFEST = "step string, tile string, args map<string,string>"
 
 #: Sample types of rasters and the Spark types that hold them (Spark has no unsigned ones).
 SAMPLE_TYPES = {"uint8": "smallint", "uint16": "int", "int16": "smallint", "uint32": "bigint", "int32": "int", "float32": "float", "float64": "double"}
