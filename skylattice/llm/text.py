@@ -63,17 +63,17 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def split_words(texts: pa.Array, separators: np.ndarray = WHITESPACE, lower: bool = False) -> Words:
-    """Maximal runs of non-separator bytes of each text."""
+    """Maximal runs of non-separator bytes of each text; lower: A-Z are lower-cased first."""
     data, offsets = raw(texts)
     if not len(data):
         return Words(pa.array([], pa.large_string()), np.zeros(len(offsets), np.int64))
+    if lower:
+        data = LOWER[data]
     word = ~separators[data]
     starts = np.flatnonzero(_edges(word, offsets[:-1]))
     ends = np.flatnonzero(_edges(word[::-1], len(data) - offsets[1:])[::-1])
     lengths = ends - starts + 1
     clean = data[word]
-    if lower:
-        clean = LOWER[clean]
     first = np.searchsorted(starts, offsets)
     return Words(_strings(clean, np.concatenate(([0], np.cumsum(lengths)))), first)
 
