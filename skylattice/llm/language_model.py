@@ -148,7 +148,7 @@ def score(documents: DataFrame) -> DataFrame:
     table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")
     replies = storage.save(exchange.totals(table.where("kind = 1"), _answer), f"{folder}/totals")
     storage.drop(spark, f"{folder}/blocks/kind=1")
-    blocks = spark.read.schema("block string, bucket int, data binary").parquet(f"{folder}/blocks/kind=0")
+    blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
     notes = replies.where("block = ''").select("data")
     found = np.array([np.frombuffer(r["data"], np.int64) for r in notes.toLocalIterator()], np.int64).reshape(-1, 2).sum(0)  # one small row a bucket
     v, n = int(found[0]), int(found[1])

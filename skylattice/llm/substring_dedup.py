@@ -233,7 +233,7 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")
     replies = storage.save(exchange.totals(table.where("kind = 1"), answer), f"{folder}/totals")
     storage.drop(spark, f"{folder}/blocks/kind=1")
-    blocks = spark.read.schema("block string, bucket int, data binary").parquet(f"{folder}/blocks/kind=0")
+    blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
     both = exchange.answered(blocks, replies)
     made = storage.save(both.mapInArrow(classes, "kind int, key long, content long, doc_id long, lo long, hi long, words binary"), f"{folder}/classes", "kind")
     storage.drop(spark, f"{folder}/blocks")
