@@ -31,7 +31,7 @@ BUCKET_BYTES = 8_000_000
 
 def squeeze(values: np.ndarray) -> bytes:
     """Any numbers, byte planes apart, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
