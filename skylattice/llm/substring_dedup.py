@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ from .fm_index import FMIndex
 ANCHOR = 8
 #: An anchor that more segments have is dealt by window.
 HOT = 256
-#: Words in a shard's index, about.
-SHARD_WORDS = 150_000
+#: Text for each shard, in bytes: if every word of the input were in classes, about three times over, an index would have half a million.
+SHARD_BYTES = 1_000_000
 BATCH_BYTES = 6_000_000
 UNIQUE, REPEATED, COMMON = 0, 1, 2
 SPANS = "doc_id long, lo long, hi long"
@@ -168,10 +169,15 @@ def _classes(data: bytes, said: list, window: int, gram: int) -> Iterator[pa.Rec
 
 
 def search_shard(group: pa.Table, window: int) -> pa.Table:
-    """Removed intervals (doc_id, lo, hi) among the classes of a shard: doc_id, lo (first word), hi (number of windows), words."""
+    """Removed intervals (doc_id, lo, hi) of a shard: those of kind 0 as they are, and what is found among the classes (kind 1: doc_id, lo: first word, hi: number of windows, words)."""
+    known = group.filter(pc.equal(group.column("kind"), 0))
+    group = group.filter(pc.equal(group.column("kind"), 1))
+    out = [tuple(known.column(c).to_numpy() for c in ("doc_id", "lo", "hi"))]
+    if not group.num_rows:
+        return _spans(*out[0])
     content, doc, at, n = (group.column(c).to_numpy() for c in ("content", "doc_id", "lo", "hi"))
     keep, later = _earliest(content, doc, at)
-    out = [(doc[later], at[later], at[later] + n[later] + window - 1)]
+    out.append((doc[later], at[later], at[later] + n[later] + window - 1))
     doc, at, n = doc[keep], at[keep], n[keep]
     blob = group.column("words").take(pa.array(keep)).combine_chunks().cast(pa.large_binary())
     offsets = np.frombuffer(blob.buffers()[1], np.int64)[blob.offset : blob.offset + len(keep) + 1]
@@ -213,7 +219,8 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     spark = documents.sparkSession
     gram = min(ANCHOR, window)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = exchange.buckets_for(exchange.text_bytes(rows))
+    size = exchange.text_bytes(rows)
+    buckets, shards = exchange.buckets_for(size), max(1, -(-size // SHARD_BYTES))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
@@ -235,13 +242,13 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     storage.drop(spark, f"{folder}/blocks/kind=1")
     blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
     both = exchange.answered(blocks, replies)
-    made = storage.save(both.mapInArrow(classes, "kind int, key long, content long, doc_id long, lo long, hi long, words binary"), f"{folder}/classes", "kind")
+    made = both.mapInArrow(classes, "kind int, key long, content long, doc_id long, lo long, hi long, words binary")
+    # intervals that need no search travel with the classes, by their document
+    shard = F.pmod(F.when(F.col("kind") == 1, F.xxhash64("key")).otherwise(F.xxhash64("doc_id")), F.lit(shards))
+    dealt = made.select(shard.alias("shard"), "kind", "content", "doc_id", "lo", "hi", "words")
+    spans = storage.save(dealt.groupBy("shard").applyInArrow(lambda group: search_shard(group, window), SPANS), f"{folder}/spans")
     storage.drop(spark, f"{folder}/blocks")
-    total = made.where("kind = 1").agg(F.sum(F.col("hi") + (window - 1)).alias("n")).head()["n"] or 0
-    shards = max(1, -(-int(total) // SHARD_WORDS))
-    dealt = made.where("kind = 1").select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "content", "doc_id", "lo", "hi", "words")
-    found = dealt.groupBy("shard").applyInArrow(lambda group: search_shard(group, window), SPANS)
-    return storage.save(found.unionByName(made.where("kind = 0").select("doc_id", "lo", "hi")), f"{folder}/spans")
+    return spans
 
 
 def _with_spans(documents: DataFrame, window: int, columns: list) -> DataFrame:
@@ -259,7 +266,7 @@ def _gone(batch: pa.RecordBatch, w: text.Words) -> np.ndarray:
     change = np.zeros(len(w.words) + 1, np.int64)
     for name, sign in (("_lo", 1), ("_hi", -1)):
         lists = batch.column(batch.schema.get_field_index(name))
-        n = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+        n = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
         at = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(w.first[:-1], n)
         np.add.at(change, at.astype(np.int64), sign)
     return np.cumsum(change[:-1]) > 0
