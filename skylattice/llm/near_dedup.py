@@ -343,6 +343,5 @@ def distinct(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     edges = found.where("sure").select("a", "b").unionByName(verified(open_, documents, shingle, similarity))
     again = cc.components(edges, folder).where("node <> component").select("node")
     kept = classes.select("node").join(again, "node", "left_anti")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(text.NULL_ID))
-    columns = [documents[c] for c in documents.columns]
-    return documents.withColumn("_node", key).join(kept.withColumnRenamed("node", "_node").hint("shuffle_hash"), "_node", "left_semi").select(*columns)
+    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
+    return documents.join(kept.hint("shuffle_hash"), key == kept["node"], "left_semi")

@@ -251,21 +251,20 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     return spans
 
 
-def _with_spans(documents: DataFrame, window: int, columns: list) -> DataFrame:
-    """documents' columns with the removed intervals of each row as arrays _lo, _hi."""
+def _with_spans(documents: DataFrame, window: int) -> DataFrame:
+    """documents' columns and, as the last two, the removed intervals of each row: arrays of first words and of ends."""
     folder = storage.work_dir(documents.sparkSession, "substring")
     spans = repeats(documents, window, folder)
-    each = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(text.NULL_ID))
-    joined = documents.withColumn("_id", key).join(each.hint("shuffle_hash"), "_id", "left")
-    return joined.select(*columns, F.col("_spans.lo").alias("_lo"), F.col("_spans.hi").alias("_hi"))
+    each = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
+    joined = documents.join(each.hint("shuffle_hash"), key == each["doc_id"], "left")
+    return joined.select(*(documents[c] for c in documents.columns), each["spans"]["lo"].alias("_lo"), each["spans"]["hi"].alias("_hi"))
 
 
 def _gone(batch: pa.RecordBatch, w: text.Words) -> np.ndarray:
     """Of each word of a batch, is it removed?"""
     change = np.zeros(len(w.words) + 1, np.int64)
-    for name, sign in (("_lo", 1), ("_hi", -1)):
-        lists = batch.column(batch.schema.get_field_index(name))
+    for lists, sign in ((batch.column(batch.num_columns - 2), 1), (batch.column(batch.num_columns - 1), -1)):
         n = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
         at = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(w.first[:-1], n)
         np.add.at(change, at.astype(np.int64), sign)
@@ -291,7 +290,7 @@ def digest(documents: DataFrame, window: int = 20) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_words": pa.array(total), "n_removed": pa.array(total - np.diff(kept)), "kept_sha256": pa.array(sha, pa.string())})
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _with_spans(rows, window, ["doc_id", "text"]).mapInArrow(count, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _with_spans(rows, window).mapInArrow(count, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def clean(documents: DataFrame, window: int = 50) -> DataFrame:
@@ -300,7 +299,7 @@ def clean(documents: DataFrame, window: int = 50) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
-            where = batch.schema.get_field_index("text")
+            where = schema.names.index("text")
             texts = batch.column(where)
             w = text.split_words(texts)
             gone = _gone(batch, w)
@@ -311,12 +310,12 @@ def clean(documents: DataFrame, window: int = 50) -> DataFrame:
             columns = list(batch.columns[: len(schema)])
             columns[where] = pa.array(out, texts.type)
             if "n_chars" in schema.names:
-                i = batch.schema.get_field_index("n_chars")
+                i = schema.names.index("n_chars")
                 n = pa.array([columns[i][k].as_py() if not lost[k] else len(out[k]) for k in range(len(out))], columns[i].type)
                 columns[i] = n
             yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array((lost == 0) | (lost < np.diff(w.first))))
 
-    return _with_spans(documents, window, [documents[c] for c in documents.columns]).mapInArrow(cut, schema)
+    return _with_spans(documents, window).mapInArrow(cut, schema)
 
 
 def _without(value: str, gone: np.ndarray) -> str:
