@@ -42,6 +42,15 @@ def expand(data: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(size, -1).T).view(dtype).ravel()
 
 
+def squeeze_hashes(hashes: np.ndarray) -> bytes:
+    """Hashes that ascend for long stretches, as differences (modulo 2^64)."""
+    return squeeze(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def expand_hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(expand(data, np.uint64), dtype=np.uint64)
+
+
 def pack_parts(*parts: bytes) -> bytes:
     head = np.array([len(parts), *map(len, parts)], np.int64).tobytes()
     return head + b"".join(parts)
@@ -72,7 +81,7 @@ def sends(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple[
     for b in range(buckets):
         lo, hi = edges[b], edges[b + 1]
         if hi > lo:
-            yield b, pack_parts(squeeze(np.diff(keys[lo:hi], prepend=np.uint64(0))), squeeze(counts[lo:hi].astype(np.uint32)))
+            yield b, pack_parts(squeeze_hashes(keys[lo:hi]), squeeze(counts[lo:hi].astype(np.uint32)))
 
 
 def totals(table: DataFrame, answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, bytes]]) -> DataFrame:
@@ -84,7 +93,7 @@ def totals(table: DataFrame, answer: Callable[[np.ndarray, np.ndarray], tuple[np
 
     def add_up(group: pa.Table) -> pa.Table:
         sent = [parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")]
-        keys = [np.cumsum(expand(p[0], np.uint64)) for p in sent]
+        keys = [expand_hashes(p[0]) for p in sent]
         counts = [expand(p[1], np.uint32) for p in sent]
         distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)

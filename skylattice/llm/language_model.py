@@ -37,12 +37,18 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 CLASSES, STEPS = 48, 80
 EM_ROUNDS = 200
 SALT = np.uint64(0xA5A5A5A5A5A5A5A5)
+#: N-grams are counted by 56-bit keys; the last byte tells unigrams (0) from bigrams (1).
+KEY_BITS = ~np.uint64(0xFF)
 
 
 def held_out(doc_id: int | None, fold: int = 2, folds: int = 7) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % folds == fold
 
 
+def unigram_keys(hashes: np.ndarray) -> np.ndarray:
+    return text.mix(hashes ^ SALT) & KEY_BITS
+
+
 class Block:
     """Tokens of some documents as numbers of their distinct hashes, and the n-grams in them."""
 
@@ -52,30 +58,31 @@ class Block:
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> "Block":
         w = text.split_words(batch.column(1), lower=True)
-        idx, distinct = text.by_frequency(*w.encoded())
-        hashes = np.insert(text.hashed(distinct), 0, END)  # number 0 ends a text
+        idx, distinct = w.encoded()
+        idx, hashes = text.by_frequency(idx, text.hashed(distinct))
+        hashes = np.insert(hashes, 0, END)  # number 0 ends a text
         ids = batch.column(0).to_pylist()
         idx = np.insert(idx + 1, w.first[1:], 0)
         return cls(text.ids(batch.column(0)), np.array([held_out(i) for i in ids], bool), np.diff(w.first) + 1, idx, hashes)
 
     def dump(self) -> bytes:
-        return exchange.pack_parts(self.ids.tobytes(), self.out.tobytes(), self.n.tobytes(), exchange.squeeze(self.idx.astype(np.uint32)), self.hashes.tobytes())
+        return exchange.pack_parts(self.ids.tobytes(), self.out.tobytes(), self.n.tobytes(), exchange.squeeze(self.idx.astype(np.uint32)), exchange.squeeze_hashes(self.hashes))
 
     @classmethod
     def load(cls, data: bytes) -> "Block":
         p = exchange.parts_of(data)
-        return cls(np.frombuffer(p[0], np.int64), np.frombuffer(p[1], bool), np.frombuffer(p[2], np.int64), exchange.expand(p[3], np.uint32).astype(np.int64), np.frombuffer(p[4], np.uint64))
+        return cls(np.frombuffer(p[0], np.int64), np.frombuffer(p[1], bool), np.frombuffer(p[2], np.int64), exchange.expand(p[3], np.uint32).astype(np.int64), exchange.expand_hashes(p[4]))
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(sorted distinct keys of unigrams and bigrams; the key's place for each token, its context and its bigram)."""
-        unigram = text.mix(self.hashes ^ SALT) & ~np.uint64(1)  # even keys are unigrams
-        start = text.mix(np.array([START]) ^ SALT) & ~np.uint64(1)
+        unigram = unigram_keys(self.hashes)
+        start = unigram_keys(np.array([START]))
         token = self.hashes[self.idx]
         previous = np.empty_like(token)
         previous[1:] = token[:-1]
         first = np.cumsum(self.n) - self.n
         previous[first] = START
-        bigram = text.pair_hash(previous, token) | np.uint64(1)
+        bigram = text.pair_hash(previous, token) & KEY_BITS | np.uint64(1)
         words = np.append(unigram, start)
         distinct, inverse = np.unique(np.concatenate((words, bigram)), return_inverse=True)
         of_word, of_bigram = inverse[: len(words)], inverse[len(words) :]
@@ -90,14 +97,14 @@ class Block:
         distinct, of_token, _, of_bigram = self.keys()
         training = np.repeat(~self.out, self.n)
         counts = np.bincount(of_token[training], minlength=len(distinct)) + np.bincount(of_bigram[training], minlength=len(distinct))
-        start = text.mix(np.array([START]) ^ SALT) & ~np.uint64(1)
+        start = unigram_keys(np.array([START]))
         counts[np.searchsorted(distinct, start[0])] = int((~self.out).sum())
         return distinct, counts
 
 
 def _answer(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, bytes]:
     """Totals; as a note the number of distinct training words and of training tokens."""
-    start = text.mix(np.array([START]) ^ SALT) & ~np.uint64(1)
+    start = unigram_keys(np.array([START]))
     word = (keys & np.uint64(1) == 0) & (keys != start[0])
     return counts.astype(np.uint64), np.array([int((counts[word] > 0).sum()), int(counts[word].sum())], np.int64).tobytes()
 

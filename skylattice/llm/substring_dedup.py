@@ -59,16 +59,16 @@ class Block:
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> "Block":
         w = text.split_words(batch.column(1))
-        idx, distinct = text.by_frequency(*w.encoded())
-        return cls(text.ids(batch.column(0)), w.first, idx, text.hashed(distinct))
+        idx, distinct = w.encoded()
+        return cls(text.ids(batch.column(0)), w.first, *text.by_frequency(idx, text.hashed(distinct)))
 
     def dump(self) -> bytes:
-        return exchange.pack_parts(self.ids.tobytes(), self.first.astype(np.int64).tobytes(), exchange.squeeze(self.idx.astype(np.uint32)), self.hashes.tobytes())
+        return exchange.pack_parts(self.ids.tobytes(), self.first.astype(np.int64).tobytes(), exchange.squeeze(self.idx.astype(np.uint32)), exchange.squeeze_hashes(self.hashes))
 
     @classmethod
     def load(cls, data: bytes) -> "Block":
         p = exchange.parts_of(data)
-        return cls(np.frombuffer(p[0], np.int64), np.frombuffer(p[1], np.int64), exchange.expand(p[2], np.uint32).astype(np.int64), np.frombuffer(p[3], np.uint64))
+        return cls(np.frombuffer(p[0], np.int64), np.frombuffer(p[1], np.int64), exchange.expand(p[2], np.uint32).astype(np.int64), exchange.expand_hashes(p[3]))
 
     def segments(self, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first window, number of windows, anchor) of each run of windows with one anchor; the words' hashes."""

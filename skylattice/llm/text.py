@@ -87,12 +87,12 @@ def _edges(word: np.ndarray, at: np.ndarray) -> np.ndarray:
     return edge
 
 
-def by_frequency(idx: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """The same words, numbered from the most frequent on: small numbers, which compress well."""
-    order = np.argsort(-np.bincount(idx, minlength=len(distinct)), kind="stable")
+def by_frequency(idx: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same words, numbered from the most frequent on (of equally frequent ones by hash): both arrays then compress well."""
+    order = np.lexsort((hashes, -np.bincount(idx, minlength=len(hashes))))
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
-    return number[idx], distinct.take(pa.array(order))
+    return number[idx], hashes[order]
 
 
 def hashed(words: pa.Array, seed: int = 0) -> np.ndarray:
