@@ -189,7 +189,7 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     lines = lines.withColumn("begins", F.col("at") == 0)
     lines = lines.withColumn("blank", F.col("begins") & (style != 2))
     # a place in the whole transcript without sorting it: turn and line together
-    lines = lines.withColumn("line_no", F.coalesce("turn", F.lit(-1)) * 1_000_000 + F.col("at")).drop("at")
+    lines = lines.withColumn("line_no", F.coalesce("turn", F.lit(-1)) * F.lit(2**31) + F.col("at")).drop("at")
     lines = lines.withColumn("first", F.col("begins") & (F.coalesce("turn", F.lit(-1)) <= 0))
     return lines.withColumn("chunk", F.floor(F.coalesce("turn", F.lit(-1)) / CHUNK_TURNS).cast("long"))
 

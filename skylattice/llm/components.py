@@ -9,7 +9,7 @@ with very many edges is one key of a join, which the adaptive join splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import storage
@@ -31,9 +31,11 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(smallest, "a")
         small = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(smallest.select("a", F.col("m").alias("b")))
-        after = storage.save(small.where("a <> b").distinct(), f"{folder}/edges-{k}")
-        # a fixed point has the same number of edges and the same sums
-        sums = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
+        # a fixed point has the same number of edges and the same sum of their hashes, both taken while they are written
+        seen = Observation()
+        edges_now = small.where("a <> b").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
+        after = storage.save(edges_now, f"{folder}/edges-{k}")
+        sums = seen.get
         storage.drop(spark, f"{folder}/edges-{k - 1}")
         now = after
         if sums == last:

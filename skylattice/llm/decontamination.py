@@ -31,7 +31,7 @@ from . import storage, text
 
 #: Text of a shard and of a slice of the benchmark, in bytes.
 SHARD_BYTES = 6_000_000
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 2_000_000
 #: More benchmark text than this is refused: it would no longer be a query set that each executor can hold.
 MOST_BENCHMARK_BYTES = 512_000_000
 

@@ -225,7 +225,7 @@ def test_contamination(spark, monkeypatch):
     for i, (n, hit, found) in zip(ids_for(texts), brute_contamination(texts, items, 10)):
         names = sorted(str(x) for x in found if x is not None)
         expected[i] = (n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0)
-    for size in (8_000_000, 100):  # one slice, and several
+    for size in (2_000_000, 100):  # one slice, and several
         monkeypatch.setattr(decontamination, "SLICE_BYTES", size)
         got = {r["doc_id"]: tuple(r)[1:] for r in decontamination.contamination(docs, bench).collect()}
         assert got == expected
