@@ -20,7 +20,7 @@ import pyarrow as pa
 from .text import LOWER, WHITESPACE, _strings, raw, ragged
 
 #: Kept units; beyond it the cache starts anew. Bounds a worker's memory.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 300_000
 #: Longer units are encoded each time.
 CACHE_BYTES = 48
 #: Units in one call, with a separator that the vocabularies keep apart from what is around it.
