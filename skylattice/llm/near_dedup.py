@@ -240,17 +240,22 @@ class Search:
                 if apart.any():
                     self.far.append((u[apart], v[apart]))
 
-    def edges(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(point, point, sure) of the forest of near links and, unless joined already, the pairs further off."""
+    def forest(self) -> tuple[np.ndarray, np.ndarray]:
+        """Links that join what links at `near` bits or fewer join."""
         none = np.zeros(0, np.int64)
-        a, b = np.concatenate([none, *self.links.a]), np.concatenate([none, *self.links.b])
-        u, v = np.concatenate([none, *(x for x, _ in self.far)]), np.concatenate([none, *(y for _, y in self.far)])
-        ok = self.links.label[u] != self.links.label[v]
-        return np.concatenate((a, u[ok])), np.concatenate((b, v[ok])), np.concatenate((np.ones(len(a), bool), np.zeros(int(ok.sum()), bool)))
+        return np.concatenate([none, *self.links.a]), np.concatenate([none, *self.links.b])
+
+    def open(self) -> np.ndarray:
+        """Points with a link further off to a point that the forest leaves apart."""
+        label, none = self.links.label, np.zeros(0, np.int64)
+        return np.unique(np.concatenate([none, *(x[label[u] != label[v]] for u, v in self.far for x in (u, v))]))
+
+
+LINKS = "shard int, a long, b long, label long, fp long, wide long, owner boolean"
 
 
 def links(classes: DataFrame, near: int, most: int, tables: int, most_wide: int | None = None) -> DataFrame:
-    """a, b (nodes), sure: a forest of links at `near` bits or fewer, and all links further off between what it leaves apart.
+    """A forest (a, b: nodes) of the links at `near` bits or fewer; rows with NULL b are points, by shard, with links further off that it leaves apart.
 
     classes: node, fp, wide; a row for each distinct fingerprint.
     """
@@ -273,12 +278,16 @@ def links(classes: DataFrame, near: int, most: int, tables: int, most_wide: int
     def search(group: pa.Table) -> pa.Table:
         k = group.column("shard")[0].as_py() % len(masks)
         points = np.stack([group.column(c).to_numpy().view(np.uint64) for c in ("fp", "wide")], 1)
-        a, b, sure = Search(points, group.column("owner").to_numpy(), masks[k], radius, near, most, most_wide).run().edges()
+        found = Search(points, group.column("owner").to_numpy(), masks[k], radius, near, most, most_wide).run()
+        (a, b), open_ = found.forest(), found.open()
         node = group.column("node").to_numpy()
-        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b]), "sure": pa.array(sure)})
+        forest = pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
+        rest = group.take(pa.array(open_)).append_column("label", pa.array(node[found.links.label[open_]]))
+        both = pa.concat_tables([forest, rest.rename_columns(["shard", "a", "fp", "wide", "owner", "label"])], promote_options="default")
+        return both.select(["shard", "a", "b", "label", "fp", "wide", "owner"])
 
     dealt = classes.select("node", "fp", "wide").mapInArrow(deal, "shard int, node long, fp long, wide long, owner boolean")
-    return dealt.groupBy("shard").applyInArrow(search, "a long, b long, sure boolean")
+    return dealt.groupBy("shard").applyInArrow(search, LINKS)
 
 
 def fingerprinted(documents: DataFrame, shingle: int, folder: str, wide: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -307,31 +316,56 @@ def components(documents: DataFrame, shingle: int = 4, most: int = 4, tables: in
 
 #: For similarity 0.8 of word shingles, fingerprints of 128 bits differ in 19.4 bits, give or take 4.1, and their first
 #: 64 bits in 9.7, give or take 2.9: links are sought up to more than two deviations above, and taken as they are well below.
-NEAR, MOST, MOST_WIDE = 14, 16, 30
+NEAR, MOST, MOST_WIDE = 10, 16, 30
+
 
+def verify(group: pa.Table, similarity: float) -> pa.Table:
+    """Links (a, b) among the open points of a shard whose sets of shingles are similar enough; of each component as many as join it.
 
-def verified(pairs: DataFrame, documents: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs a, b of doc_ids (NULL_ID for null) whose sets of shingles have at least that Jaccard similarity."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(text.NULL_ID)).alias("node")
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = documents.select(key, "text").join(needed.hint("shuffle_hash"), "node", "left_semi")
+    A point is held against all its partners at once: its shingles are marked,
+    and the marks in each partner's set are counted.  Pairs that are joined
+    already need no test.
+    """
+    p, wide, owner, node, label = (group.column(c).to_numpy() for c in ("fp", "wide", "owner", "a", "label"))
+    p, wide, label = p.view(np.uint64), wide.view(np.uint64), np.unique(label, return_inverse=True)[1]
+    sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("s")]
+    size = np.array([len(x) for x in sets])
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    first = np.cumsum(size) - size
+    mark = np.zeros(int(flat.max(initial=-1)) + 1, bool)
+    a, b = [], []
+    for i in range(len(p)):
+        near = np.bitwise_count(p[i] ^ p[i + 1 :]).astype(np.int64)
+        ok = (near <= MOST) & (near + np.bitwise_count(wide[i] ^ wide[i + 1 :]) <= MOST_WIDE) & (owner[i] | owner[i + 1 :]) & (label[i + 1 :] != label[i])
+        j = np.flatnonzero(ok) + i + 1
+        if not len(j):
+            continue
+        own = flat[first[i] : first[i] + size[i]]
+        mark[own] = True
+        hits = np.concatenate(([0], np.cumsum(mark[flat[text.ragged(first[j], size[j])]])))
+        mark[own] = False
+        ends = np.cumsum(size[j])
+        both = hits[ends] - hits[ends - size[j]]
+        for k in j[both >= similarity * (size[i] + size[j] - both)]:
+            if label[k] != label[i]:
+                label[label == label[k]] = label[i]
+                a.append(node[i])
+                b.append(node[k])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def verified(points: DataFrame, documents: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links a, b among open points (rows of links) by the exact Jaccard similarity of their sets of shingles."""
+    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
+    needed = points.select("a").distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
-            yield pa.RecordBatch.from_pydict({"node": batch.column(0), "s": pa.array([np.unique(h).tobytes() for h in shingle_hashes(batch.column(1), shingle)], pa.binary())})
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_pydict({"a": batch.column(0), "s": pa.array([np.unique(h).tobytes() for h in shingle_hashes(batch.column(1), shingle)], pa.binary())})
 
-    known = rows.mapInArrow(sets, "node long, s binary").dropDuplicates(["node"])
-    x = pairs.join(known.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(known.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-    return x.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    rows = documents.select(key.alias("a"), "text").join(needed.hint("shuffle_hash"), "a", "left_semi")
+    known = rows.mapInArrow(sets, "a long, s binary").dropDuplicates(["a"])
+    return points.join(known, "a").groupBy("shard").applyInArrow(lambda group: verify(group, similarity), "a long, b long")
 
 
 def distinct(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -339,8 +373,7 @@ def distinct(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     folder = storage.work_dir(documents.sparkSession, "near")
     _, classes = fingerprinted(documents, shingle, folder, wide=True)
     found = storage.save(links(classes, NEAR, MOST, 1, MOST_WIDE), f"{folder}/links")
-    open_ = found.where("not sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = found.where("sure").select("a", "b").unionByName(verified(open_, documents, shingle, similarity))
+    edges = found.where("b is not null").select("a", "b").unionByName(verified(found.where("b is null"), documents, shingle, similarity))
     again = cc.components(edges, folder).where("node <> component").select("node")
     kept = classes.select("node").join(again, "node", "left_anti")
     key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))

@@ -291,8 +291,12 @@ def test_vantage_point_trees(seed):
         index, shard, owner = near_dedup.route(p, tree, levels, mask, most // 3)
         for s in np.unique(shard):
             g = index[shard == s]
-            a, b, _ = near_dedup.Search(np.stack([p[g], p[g]], 1), owner[shard == s], mask, most // 3, near, most).run().edges()
+            found = near_dedup.Search(np.stack([p[g], p[g]], 1), owner[shard == s], mask, most // 3, near, most).run()
+            a, b = found.forest()
             links.add(g[a], g[b])
+            points = found.open()
+            i, j = np.nonzero(np.bitwise_count(p[g][points][:, None] ^ p[g][points][None, :]) <= most)
+            links.add(g[points][i], g[points][j])
     whole = near_dedup.Links(len(p))
     i, j = np.nonzero(np.bitwise_count(p[:, None] ^ p[None, :]) <= most)
     whole.add(i, j)
