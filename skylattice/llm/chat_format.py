@@ -96,25 +96,40 @@ def emissions(table: pa.Table, emit: list[np.ndarray]) -> np.ndarray:
     return sum(emit[k][:, table.column(f"f{k}").to_numpy()].T for k in range(len(SIZES)))
 
 
-def chunk_matrix(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """Best score from each state before the chunk (the last row: the start) to each state of its last line."""
-    best = move + scores[0]
-    for row in scores[1:]:
-        best = (best[:, :, None] + move[None, :STATES, :]).max(1) + row
-    return best
-
-
-def decode(scores: np.ndarray, move: np.ndarray, before: int, last: int) -> np.ndarray:
-    """The best states of a chunk between its given borders."""
-    best, back = move[before] + scores[0], []
-    for row in scores[1:]:
-        step = best[:, None] + move[:STATES]
-        back.append(step.argmax(0))
-        best = step.max(0) + row
-    states = [last]
-    for b in reversed(back):
-        states.append(int(b[states[-1]]))
-    return np.array(states[::-1], np.int32)
+def chunk_matrices(scores: np.ndarray, first: np.ndarray, length: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """For each chunk (lines first to first + length), the best score from each state before it (the last row: the start) to each state of its last line.
+
+    All chunks take each step together, the longest ones first.
+    """
+    order = np.argsort(-length, kind="stable")
+    at, n = first[order], length[order]
+    best = move[None] + scores[at][:, None, :]
+    for t in range(1, int(n[0]) if len(n) else 0):
+        k = int(np.searchsorted(-n, -t))
+        best[:k] = (best[:k, :, :, None] + move[None, None, :STATES, :]).max(2) + scores[at[:k] + t][:, None, :]
+    out = np.empty_like(best)
+    out[order] = best
+    return out
+
+
+def decode_chunks(scores: np.ndarray, first: np.ndarray, length: np.ndarray, move: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The best states of the lines of each chunk between its given borders."""
+    order = np.argsort(-length, kind="stable")
+    at, n = first[order], length[order]
+    best, back = move[before[order]] + scores[at], []
+    for t in range(1, int(n[0]) if len(n) else 0):
+        k = int(np.searchsorted(-n, -t))
+        step = best[:k, :, None] + move[None, :STATES, :]
+        back.append(step.argmax(1))
+        best[:k] = step.max(1) + scores[at[:k] + t]
+    states = np.empty(len(scores), np.int32)
+    now = last[order].copy()
+    states[at + n - 1] = now
+    for t in range(len(back), 0, -1):
+        k = len(back[t - 1])
+        now[:k] = back[t - 1][np.arange(k), now[:k]]
+        states[at[:k] + t - 1] = now[:k]
+    return states
 
 
 def borders(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -131,31 +146,49 @@ def borders(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
     return list(zip([STATES, *last[:-1]], last))
 
 
+#: Lines that one task step works on, about.
+STEP_LINES = 50_000
+
+
 def roles(lines: DataFrame, move: np.ndarray, emit: list[np.ndarray], folder: str) -> DataFrame:
-    """lines (observed, with chunk) plus state."""
+    """lines (observed, with chunk) plus state. Many chunks share a step; a chunk is never in two."""
     lines = storage.save(lines, f"{folder}/lines")
-    keys = ["conv_id", "chunk"]
+    steps = max(8, -(-lines.count() // STEP_LINES))
     features = [f"f{k}" for k in range(len(SIZES))]
+    lines = lines.withColumn("step", F.pmod(F.xxhash64("conv_id", "chunk"), F.lit(steps)))
+
+    def chunks(group: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        """The lines in order, and where each chunk starts and how long it is."""
+        group = group.sort_by([("conv_id", "ascending"), ("chunk", "ascending"), ("line_no", "ascending")])
+        conv, none, chunk = group.column("conv_id").fill_null(0).to_numpy(), group.column("conv_id").is_null().to_numpy(), group.column("chunk").to_numpy()
+        new = np.concatenate(([True], (conv[1:] != conv[:-1]) | (none[1:] != none[:-1]) | (chunk[1:] != chunk[:-1])))
+        first = np.flatnonzero(new)
+        return group, first, np.diff(np.append(first, len(new)))
 
     def matrix(group: pa.Table) -> pa.Table:
-        group = group.sort_by("line_no")
-        m = chunk_matrix(emissions(group, emit), move)
-        return pa.table({"conv_id": group.column("conv_id")[:1], "chunk": group.column("chunk")[:1], "m": pa.array([m.tobytes()], pa.binary())})
+        group, first, length = chunks(group)
+        m = chunk_matrices(emissions(group, emit), first, length, move)
+        return pa.table({**{c: group.column(c).take(pa.array(first)) for c in ("conv_id", "chunk")}, "m": pa.array([x.tobytes() for x in m], pa.binary())})
 
     def chain(group: pa.Table) -> pa.Table:
-        group = group.sort_by("chunk")
-        pairs = borders([np.frombuffer(m.as_py(), np.float64).reshape(STATES + 1, STATES) for m in group.column("m")])
+        group = group.sort_by([("conv_id", "ascending"), ("chunk", "ascending")])
+        names = group.column("conv_id").to_pylist()
+        matrices = [np.frombuffer(m.as_buffer(), np.float64).reshape(STATES + 1, STATES) for m in group.column("m")]
+        edges = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
+        pairs = [p for a, b in zip(edges, edges[1:]) for p in borders(matrices[a:b])]
         return pa.table({"conv_id": group.column("conv_id"), "chunk": group.column("chunk"), "before": pa.array([p[0] for p in pairs], pa.int32()), "last": pa.array([p[1] for p in pairs], pa.int32())})
 
     def states(group: pa.Table) -> pa.Table:
-        group = group.sort_by("line_no")
-        s = decode(emissions(group, emit), move, group.column("before")[0].as_py(), group.column("last")[0].as_py())
+        group, first, length = chunks(group)
+        before, last = (group.column(c).to_numpy()[first] for c in ("before", "last"))
+        s = decode_chunks(emissions(group, emit), first, length, move, before, last)
         return pa.table({**{c: group.column(c) for c in ("conv_id", "chunk", "turn", "line_no", "line")}, "state": pa.array(s)})
 
-    made = lines.select(*keys, "line_no", *features).groupBy(*keys).applyInArrow(matrix, "conv_id long, chunk long, m binary")
-    ends = storage.save(made.groupBy("conv_id").applyInArrow(chain, "conv_id long, chunk long, before int, last int"), f"{folder}/borders")
-    joined = lines.join(ends, [F.equal_null(lines["conv_id"], ends["conv_id"]), lines["chunk"] == ends["chunk"]]).select(lines["conv_id"], lines["chunk"], "turn", "line_no", "line", *features, "before", "last")
-    return joined.groupBy(*keys).applyInArrow(states, "conv_id long, chunk long, turn long, line_no long, line string, state int")
+    made = lines.select("step", "conv_id", "chunk", "line_no", *features).groupBy("step").applyInArrow(matrix, "conv_id long, chunk long, m binary")
+    by_conversation = made.withColumn("step", F.pmod(F.xxhash64("conv_id"), F.lit(steps)))
+    ends = storage.save(by_conversation.groupBy("step").applyInArrow(chain, "conv_id long, chunk long, before int, last int"), f"{folder}/borders")
+    joined = lines.join(ends, F.equal_null(lines["conv_id"], ends["conv_id"]) & (lines["chunk"] == ends["chunk"])).select("step", lines["conv_id"], lines["chunk"], "turn", "line_no", "line", *features, "before", "last")
+    return joined.groupBy("step").applyInArrow(states, "conv_id long, chunk long, turn long, line_no long, line string, state int")
 
 
 def render(decoded: DataFrame) -> DataFrame:

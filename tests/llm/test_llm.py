@@ -451,10 +451,14 @@ def test_viterbi_in_chunks():
     rng = np.random.default_rng(0)
     move = np.log(rng.dirichlet(np.ones(chat_format.STATES), chat_format.STATES + 1))
     scores = np.log(rng.random((40, chat_format.STATES)))
-    whole = chat_format.decode(scores, move, *chat_format.borders([chat_format.chunk_matrix(scores, move)])[0])
-    parts = [scores[a : a + 7] for a in range(0, 40, 7)]
-    ends = chat_format.borders([chat_format.chunk_matrix(p, move) for p in parts])
-    assert np.array_equal(np.concatenate([chat_format.decode(p, move, *e) for p, e in zip(parts, ends)]), whole)
+    at = lambda *x: np.array(x)
+    whole_matrix = chat_format.chunk_matrices(scores, at(0), at(40), move)
+    (before, last), = chat_format.borders(list(whole_matrix))
+    whole = chat_format.decode_chunks(scores, at(0), at(40), move, at(before), at(last))
+    first = np.arange(0, 40, 7)
+    length = np.minimum(7, 40 - first)
+    ends = chat_format.borders(list(chat_format.chunk_matrices(scores, first, length, move)))
+    assert np.array_equal(chat_format.decode_chunks(scores, first, length, move, np.array([e[0] for e in ends]), np.array([e[1] for e in ends])), whole)
 
     def total(states):
         return move[chat_format.STATES, states[0]] + scores[0, states[0]] + sum(move[a, b] + scores[k, b] for k, (a, b) in enumerate(zip(states, states[1:]), 1))
