@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import utm_zone
+
 #: Steps of a tile, in order, and those a tile that is already registered skips.
 STEPS = ("virtual_dates", "registration", "sharpening", "cleanup")
 UNREGISTERED_TILES = ("35SLD",)
@@ -44,12 +46,39 @@ def result_suffix(tile: Column) -> Column:
     return F.when(tile.isin(*UNREGISTERED_TILES), F.lit("")).otherwise(F.lit("_AROP"))
 
 
-def registration_parameters(scenes: DataFrame) -> DataFrame:
-    """tile, date, text: a parameter file for each image. scenes: tile, date, base, image, crs, columns, rows, pixel, x0, y0."""
-    line = lambda key, value: F.concat(F.lit(f"{key} = "), value.cast("string"))
-    zone = F.regexp_extract("crs", r"zone (\d+)", 1)
-    keys = [("BASE_LANDSAT", F.col("base")), ("WARP_LANDSAT_BAND", F.col("image")), ("BASE_NSAMPLE", F.col("columns")), ("BASE_NLINE", F.col("rows")), ("BASE_PIXEL_SIZE", F.col("pixel")), ("BASE_UPPER_LEFT_CORNER", F.concat_ws(", ", "x0", "y0")), ("BASE_UTM_ZONE", zone), ("RESAMPLE_METHOD", F.lit("NN"))]
-    return scenes.select("tile", "date", F.array_join(F.array(F.lit("PARAMETER_FILE"), *(line(k, v) for k, v in keys), F.lit("END")), "\n").alias("text"))
+#: Resampling methods that the registration program knows; fixed values.
+RESAMPLING = ("NN", "BI", "CC", "AGG", "none")
+#: Keys of its parameter file, in their order; fixed values of the format. A side's keys begin with BASE_ or WARP_.
+PARAMETER_KEYS = (
+    "BASE_LANDSAT", "BASE_FILE_TYPE", "BASE_DATA_TYPE", "BASE_NSAMPLE", "BASE_NLINE", "BASE_PIXEL_SIZE", "BASE_UPPER_LEFT_CORNER", "BASE_UTM_ZONE", "BASE_DATUM",
+    "WARP_NBANDS", "WARP_LANDSAT_BAND", "WARP_BAND_DATA_TYPE", "BASE_SATELLITE", "WARP_BASE_MATCH_BAND", "WARP_FILE_TYPE", "WARP_NSAMPLE", "WARP_NLINE", "WARP_PIXEL_SIZE", "WARP_UPPER_LEFT_CORNER", "WARP_UTM_ZONE", "WARP_DATUM", "WARP_SATELLITE",
+    "OUT_PIXEL_SIZE", "RESAMPLE_METHOD", "OUT_EXTENT", "OUT_LANDSAT_BAND", "OUT_BASE_MATCH_BAND", "OUT_BASE_POLY_ORDER", "CP_LOG_FILE", "CP_PARAMETERS_FILE",
+)
+
+
+def registration_parameters(scenes: DataFrame, bands: list[str], match_band: str = "B4", resampling: str = "NN", sensor: str = "Sentinel2") -> DataFrame:
+    """tile, date, text: the parameter file of each image to be registered.
+
+    scenes: tile, date, name (common start of the image's files), base_file, and
+    structs base and warp with driver, dtype_code, columns, rows, pixel, x0, y0, crs.
+    """
+    if resampling not in RESAMPLING:
+        raise ValueError(f"resampling is one of {', '.join(RESAMPLING)}")
+    files = lambda names, end: F.concat_ws(" ", *(F.concat("name", F.lit(f"_{b}{end}")) for b in names))
+
+    def side(prefix: str, s: str) -> dict[str, Column]:
+        driver = F.when(F.col(f"{s}.driver") == "GTiff", "GEOTIFF").otherwise(F.col(f"{s}.driver"))
+        corner = F.concat_ws(", ", f"{s}.x0", f"{s}.y0")
+        return {f"{prefix}_FILE_TYPE": driver, f"{prefix}_NSAMPLE": F.col(f"{s}.columns"), f"{prefix}_NLINE": F.col(f"{s}.rows"), f"{prefix}_PIXEL_SIZE": F.col(f"{s}.pixel"), f"{prefix}_UPPER_LEFT_CORNER": corner, f"{prefix}_UTM_ZONE": utm_zone(F.col(f"{s}.crs")), f"{prefix}_DATUM": F.lit(12)}
+
+    values = side("BASE", "base") | side("WARP", "warp") | {
+        "BASE_LANDSAT": F.col("base_file"), "BASE_DATA_TYPE": F.col("base.dtype_code"), "BASE_SATELLITE": F.lit(sensor), "WARP_SATELLITE": F.lit(sensor),
+        "WARP_NBANDS": F.lit(len(bands)), "WARP_LANDSAT_BAND": files(bands, ".tif"), "WARP_BAND_DATA_TYPE": F.array_join(F.array_repeat(F.col("warp.dtype_code").cast("string"), len(bands)), " "), "WARP_BASE_MATCH_BAND": files([match_band], ".tif"),
+        "OUT_PIXEL_SIZE": F.col("warp.pixel"), "RESAMPLE_METHOD": F.lit(resampling), "OUT_EXTENT": F.lit("BASE"), "OUT_LANDSAT_BAND": files(bands, "_AROP.tif"), "OUT_BASE_MATCH_BAND": files([match_band], "_AROP.tif"),
+        "OUT_BASE_POLY_ORDER": F.lit(1), "CP_LOG_FILE": F.lit("cp_log.txt"), "CP_PARAMETERS_FILE": F.lit("lndortho.cps_par.ini"),
+    }
+    lines = [F.concat(F.lit(f"{k} = "), values[k].cast("string")) for k in PARAMETER_KEYS]
+    return scenes.select("tile", "date", F.array_join(F.array(F.lit("PARAMETER_FILE"), *lines, F.lit("END")), "\n").alias("text"))
 
 
 def register(blocks: DataFrame, method: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:

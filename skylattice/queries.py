@@ -681,12 +681,28 @@ def result_names(spark, sf):
     return tiles.select("tile", C.joined_name(F.lit("map"), F.concat("tile", jobs.result_suffix(F.col("tile"))), F.lit("5")).alias("name"), F.size(C.comma_list(F.lit("B4, B8 ,B11"))).alias("n_bands"))
 
 
-@query("""SELECT n_nationkey::VARCHAR AS tile, 'PARAMETER_FILE' || chr(10) || 'BASE_LANDSAT = base_B4.tif' || chr(10) || 'WARP_LANDSAT_BAND = ' || n_name || '.tif' || chr(10) || 'BASE_NSAMPLE = 10980' || chr(10) || 'BASE_NLINE = 10980' || chr(10) || 'BASE_PIXEL_SIZE = 10' || chr(10)
-|| 'BASE_UPPER_LEFT_CORNER = 300000, 4720000' || chr(10) || 'BASE_UTM_ZONE = 34' || chr(10) || 'RESAMPLE_METHOD = NN' || chr(10) || 'END' AS text FROM nation""")
+def _parameter_sql() -> str:
+    """The parameter file of each nation, line by line."""
+    name = "'T' || n_nationkey || '_20240101'"
+    bands = ("B2", "B8A")
+    files = lambda end: " || ' ' || ".join(f"{name} || '_{b}{end}'" for b in bands)
+    side = {"FILE_TYPE": "'GEOTIFF'", "NSAMPLE": "'10980'", "NLINE": "'5490'", "PIXEL_SIZE": "'10'", "UPPER_LEFT_CORNER": "'300000, 4720000'", "UTM_ZONE": "(30 + n_regionkey)", "DATUM": "'12'"}
+    values = {f"{p}_{k}": v for p in ("BASE", "WARP") for k, v in side.items()} | {
+        "BASE_LANDSAT": "n_name || '_B4.tif'", "BASE_DATA_TYPE": "'2'", "BASE_SATELLITE": "'Sentinel2'", "WARP_SATELLITE": "'Sentinel2'", "WARP_NBANDS": "'2'", "WARP_LANDSAT_BAND": files(".tif"), "WARP_BAND_DATA_TYPE": "'2 2'", "WARP_BASE_MATCH_BAND": f"{name} || '_B4.tif'",
+        "OUT_PIXEL_SIZE": "'10'", "RESAMPLE_METHOD": "'NN'", "OUT_EXTENT": "'BASE'", "OUT_LANDSAT_BAND": files("_AROP.tif"), "OUT_BASE_MATCH_BAND": f"{name} || '_B4_AROP.tif'", "OUT_BASE_POLY_ORDER": "'1'", "CP_LOG_FILE": "'cp_log.txt'", "CP_PARAMETERS_FILE": "'lndortho.cps_par.ini'",
+    }
+    lines = " || chr(10) || ".join(f"'{k} = ' || {values[k]}" for k in jobs.PARAMETER_KEYS)
+    return f"SELECT n_nationkey::VARCHAR AS tile, 'PARAMETER_FILE' || chr(10) || {lines} || chr(10) || 'END' AS text FROM nation"
+
+
+@query(_parameter_sql())
 def registration_parameters(spark, sf):
     """O1.20, O7.3"""
-    scenes = _t(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("tile"), F.lit("2024-01-01").cast("date").alias("date"), F.lit("base_B4.tif").alias("base"), F.concat("n_name", F.lit(".tif")).alias("image"), F.lit("UTM zone 34N").alias("crs"), F.lit(10980).alias("columns"), F.lit(10980).alias("rows"), F.lit(10).alias("pixel"), F.lit(300000).alias("x0"), F.lit(4720000).alias("y0"))
-    return jobs.registration_parameters(scenes).select("tile", "text")
+    wkt = F.concat(F.lit("UTM zone "), 30 + F.col("n_regionkey"), F.lit("N"))
+    image = F.struct(F.lit("GTiff").alias("driver"), F.lit(2).alias("dtype_code"), F.lit(10980).alias("columns"), F.lit(5490).alias("rows"), F.lit(10).alias("pixel"), F.lit(300000).alias("x0"), F.lit(4720000).alias("y0"), wkt.alias("crs"))
+    tile = F.col("n_nationkey").cast("string")
+    scenes = _t(spark, sf, "nation").select(tile.alias("tile"), F.lit("2024-01-01").cast("date").alias("date"), F.concat(F.lit("T"), tile, F.lit("_20240101")).alias("name"), F.concat("n_name", F.lit("_B4.tif")).alias("base_file"), image.alias("base"), image.alias("warp"))
+    return jobs.registration_parameters(scenes, ["B2", "B8A"]).select("tile", "text")
 
 
 # --- learning (no SQL) -----------------------------------------------------------
