@@ -66,10 +66,11 @@ def shingle_hashes(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
 
 
 def fingerprints(texts: pa.Array, shingle: int, wide: bool = False) -> np.ndarray:
-    """The fingerprint of each text, as unsigned 64-bit numbers; wide: a second column, of the hashes scrambled."""
+    """The fingerprint of each text, as unsigned 64-bit numbers; wide: of its distinct shingles, and a second column, of the hashes scrambled."""
     out = np.zeros((len(texts), 2), np.uint64)
     for k, hashes in enumerate(shingle_hashes(texts, shingle)):
         if len(hashes):
+            hashes = np.unique(hashes) if wide else hashes
             out[k, 0] = majority(hashes)
             out[k, 1] = majority(text.mix(hashes)) if wide else 0
     return out

@@ -328,6 +328,18 @@ def test_distinct(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(range(30)) | set(range(40, 50)) | {50}
 
 
+def test_distinct_counts_each_shingle_once(spark):
+    rng = random.Random(21)
+    words = [f"v{k}" for k in range(3000)]
+    texts = []
+    for _ in range(12):
+        head, passage = [rng.choice(words) for _ in range(280)], [rng.choice(words) for _ in range(20)]
+        texts += [" ".join(head + passage * 2), " ".join(head + passage * 17)]  # one set of shingles
+    got = near_dedup.fingerprints(pa.array(texts), 5, wide=True)
+    assert (got[::2] == got[1::2]).all()
+    assert {r["doc_id"] for r in near_dedup.distinct(documents(spark, texts)).collect()} == set(range(0, 24, 2))
+
+
 def test_language_model(spark):
     texts = odd_texts(random.Random(11), 120)
     ids = ids_for(texts)
