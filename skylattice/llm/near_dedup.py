@@ -66,13 +66,14 @@ def shingle_hashes(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
 
 
 def fingerprints(texts: pa.Array, shingle: int, wide: bool = False) -> np.ndarray:
-    """The fingerprint of each text, as unsigned 64-bit numbers; wide: of its distinct shingles, and a second column, of the hashes scrambled."""
-    out = np.zeros((len(texts), 2), np.uint64)
+    """The fingerprint of each text, as unsigned 64-bit numbers; wide: of its distinct shingles, a second column, of the hashes scrambled, and a third, of the whole set."""
+    out = np.zeros((len(texts), 3), np.uint64)
     for k, hashes in enumerate(shingle_hashes(texts, shingle)):
         if len(hashes):
             hashes = np.unique(hashes) if wide else hashes
             out[k, 0] = majority(hashes)
-            out[k, 1] = majority(text.mix(hashes)) if wide else 0
+            if wide:
+                out[k, 1], out[k, 2] = majority(text.mix(hashes)), xxhash.xxh64_intdigest(hashes.tobytes())
     return out
 
 
@@ -186,6 +187,7 @@ class Search:
         self.mask, self.radius, self.near, self.most, self.most_wide = mask, radius, near, most, most_wide
         self.links = Links(len(points))
         self.far: list[tuple[np.ndarray, np.ndarray]] = []
+        self.met = np.zeros(len(points), bool)
 
     def run(self) -> "Search":
         own = np.flatnonzero(self.owner)
@@ -237,6 +239,9 @@ class Search:
                     d += np.bitwise_count(self.wide[u] ^ self.wide[v])
                     ok &= d <= self.most_wide
                 u, v, d = u[ok], v[ok], d[ok]
+                if self.near < 0:  # nothing joins: the points are enough, the pairs are not kept
+                    self.met[u] = self.met[v] = True
+                    continue
                 close = d <= self.near
                 self.links.add(u[close], v[close])
                 apart = ~close & (self.links.label[u] != self.links.label[v])
@@ -251,14 +256,14 @@ class Search:
     def open(self) -> np.ndarray:
         """Points with a link further off to a point that the forest leaves apart."""
         label, none = self.links.label, np.zeros(0, np.int64)
-        return np.unique(np.concatenate([none, *(x[label[u] != label[v]] for u, v in self.far for x in (u, v))]))
+        return np.unique(np.concatenate([np.flatnonzero(self.met), none, *(x[label[u] != label[v]] for u, v in self.far for x in (u, v))]))
 
 
 LINKS = "shard int, a long, b long, label long, fp long, wide long, owner boolean"
 
 
 def links(classes: DataFrame, near: int, most: int, radius: int, most_wide: int | None = None) -> DataFrame:
-    """A forest (a, b: nodes) of the links at `near` bits or fewer; rows with NULL b are points, by shard, with links further off that it leaves apart.
+    """A forest (a, b: nodes) of the links at `near` bits or fewer; rows with NULL b are points, by shard, with links further off that it leaves apart (with near = -1 all points with a link).
 
     classes: node, fp, wide; a row for each distinct fingerprint.  There is a
     tree for each segment (of both words, where most_wide is given).
@@ -296,16 +301,19 @@ def links(classes: DataFrame, near: int, most: int, radius: int, most_wide: int
 
 
 def fingerprinted(documents: DataFrame, shingle: int, folder: str, wide: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(doc_id (NULL_ID for null), fp, wide of each row; node, fp, wide of each distinct fingerprint, node its least doc_id), written once."""
+    """(doc_id (NULL_ID for null), fp, wide of each row; node, fp, wide of each distinct fingerprint, node its least doc_id), written once.
+
+    wide: of each distinct set of shingles, told apart by the hash of the whole set.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
             fp = fingerprints(batch.column(1), shingle, wide).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(text.ids(batch.column(0))), "fp": pa.array(fp[:, 0].copy()), "wide": pa.array(fp[:, 1].copy())})
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(text.ids(batch.column(0))), **{name: pa.array(fp[:, k].copy()) for k, name in enumerate(("fp", "wide", "same"))}})
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = storage.save(rows.mapInArrow(scan, "doc_id long, fp long, wide long"), f"{folder}/fingerprints")
-    classes = storage.save(rows.groupBy("fp", "wide").agg(F.min("doc_id").alias("node")).select("node", "fp", "wide"), f"{folder}/classes")
+    rows = storage.save(rows.mapInArrow(scan, "doc_id long, fp long, wide long, same long"), f"{folder}/fingerprints")
+    classes = storage.save(rows.groupBy("fp", "wide", "same").agg(F.min("doc_id").alias("node")).select("node", "fp", "wide"), f"{folder}/classes")
     return rows, classes
 
 
@@ -320,8 +328,8 @@ def components(documents: DataFrame, shingle: int = 4, most: int = 4) -> DataFra
 
 
 #: For similarity 0.8 of word shingles, fingerprints of 128 bits differ in 19.4 bits, give or take 4.1, and a word of
-#: 64 bits in 9.7, give or take 2.9: links are sought up to more than two deviations above, and taken as they are well below.
-NEAR, MOST, MOST_WIDE = 10, 16, 30
+#: 64 bits in 9.7, give or take 2.9: links are sought up to more than two deviations above, and each is verified.
+MOST, MOST_WIDE = 16, 30
 #: Some one of the six segments (of 21 or 22 bits) then differs in 2 bits or fewer in 93 of 100 pairs at 0.8, in 98 at 0.85
 #: and in practically all from 0.9 on. At this radius the trees still prune, so the work stays far below all pairs.
 SEGMENT_RADIUS = 2
@@ -354,11 +362,11 @@ def verify(group: pa.Table, similarity: float) -> pa.Table:
         mark[own] = False
         ends = np.cumsum(size[j])
         both = hits[ends] - hits[ends - size[j]]
-        for k in j[both >= similarity * (size[i] + size[j] - both)]:
-            if label[k] != label[i]:
-                label[label == label[k]] = label[i]
-                a.append(node[i])
-                b.append(node[k])
+        joined, first_of = np.unique(label[j := j[both >= similarity * (size[i] + size[j] - both)]], return_index=True)
+        if len(joined):
+            label[np.isin(label, joined)] = label[i]
+            a += [node[i]] * len(joined)
+            b += node[j[first_of]].tolist()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -380,8 +388,8 @@ def distinct(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     """The documents, with all their columns, of which one of each group of near-duplicates stays (the one of least doc_id)."""
     folder = storage.work_dir(documents.sparkSession, "near")
     _, classes = fingerprinted(documents, shingle, folder, wide=True)
-    found = storage.save(links(classes, NEAR, MOST, SEGMENT_RADIUS, MOST_WIDE), f"{folder}/links")
-    edges = found.where("b is not null").select("a", "b").unionByName(verified(found.where("b is null"), documents, shingle, similarity))
+    found = storage.save(links(classes, -1, MOST, SEGMENT_RADIUS, MOST_WIDE), f"{folder}/links")
+    edges = verified(found, documents, shingle, similarity)
     again = cc.components(edges, folder).where("node <> component").select("node")
     kept = classes.select("node").join(again, "node", "left_anti")
     key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))

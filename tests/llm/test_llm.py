@@ -340,6 +340,26 @@ def test_distinct_counts_each_shingle_once(spark):
     assert {r["doc_id"] for r in near_dedup.distinct(documents(spark, texts)).collect()} == set(range(0, 24, 2))
 
 
+def shingle_sets(texts):
+    return [set(h.tolist()) for h in near_dedup.shingle_hashes(pa.array(texts), 5)]
+
+
+def test_distinct_verifies_close_fingerprints(spark):
+    rng = random.Random(22)
+    words = [f"v{k}" for k in range(3000)]
+    texts = []
+    for _ in range(1500):
+        w = [rng.choice(words) for _ in range(300)]
+        v = list(w)
+        for j in rng.sample(range(5, 295, 6), 7 + rng.randrange(3)):
+            v[j] = "other"
+        texts += [" ".join(w), " ".join(v)]
+    sets, fp = shingle_sets(texts), near_dedup.fingerprints(pa.array(texts), 5, wide=True)
+    far = [k for k in range(0, 3000, 2) if np.bitwise_count(fp[k, :2] ^ fp[k + 1, :2]).sum() <= 10 and len(sets[k] & sets[k + 1]) < 0.8 * len(sets[k] | sets[k + 1])]
+    chosen = [texts[j] for k in far for j in (k, k + 1)]
+    assert len(far) > 2 and near_dedup.distinct(documents(spark, chosen)).count() == len(chosen)
+
+
 def test_language_model(spark):
     texts = odd_texts(random.Random(11), 120)
     ids = ids_for(texts)
