@@ -15,6 +15,12 @@
 4. A shard reports a spanning forest of its links, never all pairs of a group,
    and the components of these links are found by distributed star contraction.
 
+``distinct`` (the pipeline's stage) is about sets of shingles: two texts link if
+the Jaccard similarity of their sets is high enough, and each link is verified
+by it.  Texts of which too few shingles occur elsewhere have no partner.  Of the
+rest, trees over 128 bits join most; what these leave apart meets in a prefix
+join (the rarest shingles of each set, by counts over all), which misses no pair.
+
 Nulls and empties: null and empty texts have fingerprint zero and are linked
 like any other.  A null doc_id orders before all others.  Repeated rows have
 equal fingerprints and each keeps its row.  An empty table gives an empty result.
@@ -22,6 +28,7 @@ equal fingerprints and each keeps its row.  An empty table gives an empty result
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import components as cc
-from . import storage, text
+from . import exchange, storage, text
 
 BATCH_BYTES = 4_000_000
 #: Fingerprints that place the boundaries of the upper levels.
@@ -331,28 +338,36 @@ def components(documents: DataFrame, shingle: int = 4, most: int = 4) -> DataFra
 #: 64 bits in 9.7, give or take 2.9: links are sought up to more than two deviations above, and each is verified.
 MOST, MOST_WIDE = 16, 30
 #: Some one of the six segments (of 21 or 22 bits) then differs in 2 bits or fewer in 93 of 100 pairs at 0.8, in 98 at 0.85
-#: and in practically all from 0.9 on. At this radius the trees still prune, so the work stays far below all pairs.
+#: and in practically all from 0.9 on. At this radius the trees still prune. What they miss, the prefix join finds.
 SEGMENT_RADIUS = 2
+#: Bits of a shingle's hash by which it is looked for in other texts: a chance hit only keeps a text as a candidate.
+SHORT = 36
+#: Up to so many points with a shingle, pairs are held against each other; beyond, all points of it at once.
+SMALL_GROUP = 6
 
 
 def verify(group: pa.Table, similarity: float) -> pa.Table:
-    """Links (a, b) among the open points of a shard whose sets of shingles are similar enough; of each component as many as join it.
+    """Links (a, b) among the open points of a shard (or of a meeting, without fingerprints) whose sets of shingles are similar enough; of each component as many as join it.
 
     A point is held against all its partners at once: its shingles are marked,
     and the marks in each partner's set are counted.  Pairs that are joined
     already need no test.
     """
-    p, wide, owner, node, label = (group.column(c).to_numpy() for c in ("fp", "wide", "owner", "a", "label"))
-    p, wide, label = p.view(np.uint64), wide.view(np.uint64), np.unique(label, return_inverse=True)[1]
+    node, label = group.column("a").to_numpy(), np.unique(group.column("label").to_numpy(), return_inverse=True)[1]
+    by_bits = "fp" in group.column_names
+    if by_bits:
+        p, wide, owner = group.column("fp").to_numpy().view(np.uint64), group.column("wide").to_numpy().view(np.uint64), group.column("owner").to_numpy()
     sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("s")]
     size = np.array([len(x) for x in sets])
     flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
     first = np.cumsum(size) - size
     mark = np.zeros(int(flat.max(initial=-1)) + 1, bool)
     a, b = [], []
-    for i in range(len(p)):
-        near = np.bitwise_count(p[i] ^ p[i + 1 :]).astype(np.int64)
-        ok = (near + np.bitwise_count(wide[i] ^ wide[i + 1 :]) <= MOST_WIDE) & (owner[i] | owner[i + 1 :]) & (label[i + 1 :] != label[i])
+    for i in range(len(node)):
+        ok = (label[i + 1 :] != label[i]) & (np.minimum(size[i], size[i + 1 :]) >= similarity * np.maximum(size[i], size[i + 1 :]) - 1e-6)
+        if by_bits:
+            near = np.bitwise_count(p[i] ^ p[i + 1 :]).astype(np.int64)
+            ok &= (near + np.bitwise_count(wide[i] ^ wide[i + 1 :]) <= MOST_WIDE) & (owner[i] | owner[i + 1 :])
         j = np.flatnonzero(ok) + i + 1
         if not len(j):
             continue
@@ -370,27 +385,181 @@ def verify(group: pa.Table, similarity: float) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def verified(points: DataFrame, documents: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links a, b among open points (rows of links) by the exact Jaccard similarity of their sets of shingles."""
+def least_common(size: np.ndarray, similarity: float) -> np.ndarray:
+    """Shingles that a set of this size has in common with any that is similar enough."""
+    return np.ceil(similarity * size - 1e-9).astype(np.int64)
+
+
+def shared(documents: DataFrame, shingle: int, similarity: float, folder: str) -> DataFrame:
+    """doc_id (NULL_ID for null) of the texts of which enough shingles occur in another text.
+
+    A text similar to another has at least `similarity` of its shingles in
+    common with it, so the others have no partner.  Blocks send their shingles
+    to buckets, and a bucket answers each block how many of each text's
+    shingles it has from other texts too.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    buckets = exchange.buckets_for(exchange.text_bytes(rows))
+    low = np.uint64(64 - SHORT)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
+            sets = [np.unique(h) for h in shingle_hashes(batch.column(1), shingle)]
+            size = np.array([len(x) for x in sets])
+            key, doc = np.concatenate(sets) >> low << low, np.repeat(np.arange(len(sets)), size)
+            order = np.argsort(key, kind="stable")
+            key, doc = key[order], doc[order].astype(np.uint32)
+            out = [(0, -1, exchange.pack_parts(text.ids(batch.column(0)).tobytes(), size.astype(np.int64).tobytes()))]
+            edges = np.searchsorted(exchange.bucket_of(key, buckets), np.arange(buckets + 1))
+            out += [(1, b, exchange.pack_parts(exchange.squeeze_hashes(key[lo:hi]), exchange.squeeze(doc[lo:hi]))) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+            name = uuid.uuid4().hex
+            for kind, b, data in out:
+                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([data], pa.binary())})
+
+    def answer(group: pa.Table) -> pa.Table:
+        sent = [exchange.parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")]
+        keys = [exchange.expand_hashes(p[0]) for p in sent]
+        _, inverse, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        again, at = (times > 1)[inverse], np.cumsum([0, *map(len, keys)])
+        data = [exchange.squeeze(np.bincount(exchange.expand(p[1], np.uint32)[again[lo:hi]]).astype(np.uint32)) for p, lo, hi in zip(sent, at, at[1:])]
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "data": pa.array(data, pa.binary())})
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, said in zip(batch.column(0), batch.column(1).to_pylist()):
+                ids, size = (np.frombuffer(p, np.int64) for p in exchange.parts_of(data.as_py()))
+                total = np.zeros(len(ids), np.int64)
+                for r in said or []:
+                    n = exchange.expand(r["data"], np.uint32)
+                    total[: len(n)] += n
+                yield pa.RecordBatch.from_pydict({"a": pa.array(ids[(size > 0) & (total >= least_common(size, similarity))])})
+
+    table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")
+    replies = table.where("kind = 1").select("block", "bucket", "data").groupBy("bucket").applyInArrow(answer, "block string, bucket int, data binary")
+    replies = storage.save(replies, f"{folder}/replies")
+    storage.drop(documents.sparkSession, f"{folder}/blocks/kind=1")
+    blocks = documents.sparkSession.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
+    out = storage.save(exchange.answered(blocks, replies).mapInArrow(add_up, "a long").distinct(), f"{folder}/shared")
+    for name in ("blocks", "replies"):
+        storage.drop(documents.sparkSession, f"{folder}/{name}")
+    return out
+
+
+def sets_of(points: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
+    """a, s: the sorted distinct shingle hashes of the documents that points (a) name."""
     key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
-    needed = points.select("a").distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
             yield pa.RecordBatch.from_pydict({"a": batch.column(0), "s": pa.array([np.unique(h).tobytes() for h in shingle_hashes(batch.column(1), shingle)], pa.binary())})
 
-    rows = documents.select(key.alias("a"), "text").join(needed.hint("shuffle_hash"), "a", "left_semi")
-    known = rows.mapInArrow(sets, "a long, s binary").dropDuplicates(["a"])
-    return points.join(known, "a").groupBy("shard").applyInArrow(lambda group: verify(group, similarity), "a long, b long")
+    rows = documents.select(key.alias("a"), "text").join(points.hint("shuffle_hash"), "a", "left_semi")
+    return rows.mapInArrow(sets, "a long, s binary").dropDuplicates(["a"])
+
+
+def postings(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """token, a, label, size, place: of each set the prefix, rarest shingles first, in which it meets all that are similar enough.
+
+    Shingles of one set alone meet nothing and only take their places.
+    """
+    size = sets.agg(F.sum(F.octet_length("s")).alias("b")).head()["b"] or 0
+    buckets = exchange.buckets_for(size)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                flat = [np.frombuffer(v.as_buffer(), np.uint64) for v in part.column(2)]
+                keys, counts = np.unique(np.concatenate(flat), return_counts=True)
+                ids, label, n = (np.asarray(x, np.int64).tobytes() for x in (part.column(0).to_numpy(), part.column(1).to_numpy(), [len(x) for x in flat]))
+                name = uuid.uuid4().hex
+                for kind, b, data in [(0, -1, exchange.pack_parts(ids, label, n, np.concatenate(flat).tobytes())), *((1, b, d) for b, d in exchange.sends(keys, counts, buckets))]:
+                    yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([data], pa.binary())})
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, said in zip(batch.column(0), batch.column(1).to_pylist()):
+                parts = exchange.parts_of(data.as_py())
+                ids, label, n = (np.frombuffer(p, np.int64) for p in parts[:3])
+                flat, who = np.frombuffer(parts[3], np.uint64), np.repeat(np.arange(len(n)), n)
+                times = exchange.reply_array(said, np.uint32)[np.unique(flat, return_inverse=True)[1]]
+                order = np.lexsort((flat, times, who))
+                flat, times = flat[order], times[order]
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+                ok = (times > 1) & (place <= (n - least_common(n, similarity))[who])
+                yield pa.RecordBatch.from_pydict({"token": pa.array(flat[ok].view(np.int64)), "a": pa.array(ids[who[ok]]), "label": pa.array(label[who[ok]]), "size": pa.array(n[who[ok]]), "place": pa.array(place[ok])})
+
+    table = storage.save(sets.select("a", "label", "s").mapInArrow(make, exchange.SCHEMA), f"{folder}/sets", "kind")
+    replies = storage.save(exchange.totals(table.where("kind = 1"), lambda keys, total: (total.astype(np.uint32), b"")), f"{folder}/set-totals")
+    storage.drop(sets.sparkSession, f"{folder}/sets/kind=1")
+    blocks = sets.sparkSession.read.schema(exchange.SCHEMA).parquet(f"{folder}/sets").where("kind = 0")
+    return exchange.answered(blocks, replies).mapInArrow(prefixes, "token long, a long, label long, size long, place long")
+
+
+def meetings(group: pa.Table, similarity: float) -> pa.Table:
+    """meeting, a, label: points that share a shingle of their prefixes, have different labels and sizes and places that allow the similarity."""
+    token, a, label, size, place = (group.column(c).to_numpy() for c in ("token", "a", "label", "size", "place"))
+    order = np.lexsort((a, token))
+    token, a, label, size, place = (x[order] for x in (token, a, label, size, place))
+    first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    ends = np.append(first[1:], len(token))
+    several = np.flatnonzero(np.minimum.reduceat(label, first) != np.maximum.reduceat(label, first))
+    seen, names, members = set(), [], []
+    for lo, hi in zip(first[several].tolist(), ends[several].tolist()):
+        if hi - lo <= SMALL_GROUP:
+            i, j = (lo + x for x in np.triu_indices(hi - lo, 1))
+            most = np.minimum(size[i] - place[i], size[j] - place[j])  # shingles in common, if none before is
+            ok = (label[i] != label[j]) & (most >= similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6)
+            met = list(zip(i[ok].tolist(), j[ok].tolist()))
+        else:
+            met = [range(lo, hi)]
+        for m in met:
+            who = a[list(m)]
+            name = xxhash.xxh64_intdigest(who.tobytes())
+            if name not in seen:
+                seen.add(name)
+                names += [name] * len(who)
+                members += m
+    at = np.array(members, np.int64)
+    return pa.table({"meeting": pa.array(np.array(names, np.uint64).view(np.int64)), "a": pa.array(a[at]), "label": pa.array(label[at])})
+
+
+def joined(points: DataFrame, sets: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """Links a, b by the exact similarity between sets (a, label, s) with different labels, by a prefix join; of each meeting as many as join it."""
+    spark = sets.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = points.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(8 * parts)))
+    met = met.groupBy("part").applyInArrow(lambda g: meetings(g, similarity), "meeting long, a long, label long").dropDuplicates(["meeting", "a"])
+    met = storage.save(met, f"{folder}/meetings")
+
+    def check(group: pa.Table) -> pa.Table:
+        order = np.argsort(group.column("meeting").to_numpy(), kind="stable")
+        group = group.take(pa.array(order))
+        name = group.column("meeting").to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+        found = [verify(group.slice(lo, hi - lo), similarity) for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(name)])]
+        return pa.concat_tables(found)
+
+    dealt = met.join(sets.select("a", "s"), "a").withColumn("part", F.pmod(F.xxhash64("meeting"), F.lit(8 * parts)))
+    return dealt.groupBy("part").applyInArrow(check, "a long, b long")
 
 
 def distinct(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents, with all their columns, of which one of each group of near-duplicates stays (the one of least doc_id)."""
     folder = storage.work_dir(documents.sparkSession, "near")
     _, classes = fingerprinted(documents, shingle, folder, wide=True)
-    found = storage.save(links(classes, -1, MOST, SEGMENT_RADIUS, MOST_WIDE), f"{folder}/links")
-    edges = verified(found, documents, shingle, similarity)
-    again = cc.components(edges, folder).where("node <> component").select("node")
+    able = shared(documents, shingle, similarity, folder)
+    able = storage.save(classes.join(able, classes["node"] == able["a"], "left_semi"), f"{folder}/able")
+    sets = storage.save(sets_of(able.select(F.col("node").alias("a")), documents, shingle), f"{folder}/known")
+    found = storage.save(links(able, -1, MOST, SEGMENT_RADIUS, MOST_WIDE), f"{folder}/links")
+    near = found.join(sets, "a").groupBy("shard").applyInArrow(lambda group: verify(group, similarity), "a long, b long")
+    near = storage.save(near, f"{folder}/near")
+    labels = cc.components(near, f"{folder}/labels")
+    labelled = sets.join(labels, sets["a"] == labels["node"], "left").select("a", F.coalesce("component", "a").alias("label"), "s")
+    rest = joined(postings(labelled, similarity, folder), sets, similarity, folder)
+    again = cc.components(near.unionByName(rest), f"{folder}/all").where("node <> component").select("node")
+    for name in ("fingerprints", "shared", "able", "known", "links", "near", "labels", "sets", "set-totals", "meetings"):
+        storage.drop(documents.sparkSession, f"{folder}/{name}")
     kept = classes.select("node").join(again, "node", "left_anti")
     key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
     return documents.join(kept.hint("shuffle_hash"), key == kept["node"], "left_semi")

@@ -360,6 +360,42 @@ def test_distinct_verifies_close_fingerprints(spark):
     assert len(far) > 2 and near_dedup.distinct(documents(spark, chosen)).count() == len(chosen)
 
 
+def test_distinct_misses_no_pair(spark, monkeypatch):
+    rng = random.Random(23)
+    words = [f"v{k}" for k in range(3000)]
+    line, texts = [rng.choice(words) for _ in range(40)], []
+    for k in range(500):
+        w = [rng.choice(words) for _ in range(rng.choice([60, 120, 300]))] + line * (k % 5 == 0)
+        v = list(w)
+        for j in rng.sample(range(5, len(w) - 5, 6), round(len(w) * rng.choice([0.018, 0.02, 0.022, 0.024]))):
+            v[j] = "other"
+        texts += [" ".join(w), " ".join(v)]
+    base = texts[0].split()
+    for k in range(40):  # one group of many
+        v = list(base)
+        for j in rng.sample(range(5, len(v) - 5, 6), max(1, len(v) // 60)):
+            v[j] = f"x{k}"
+        texts.append(" ".join(v))
+    sets = shingle_sets(texts)
+    n, least = len(texts), list(range(len(texts)))
+    by_shingle = collections.defaultdict(list)
+    for k, s in enumerate(sets):
+        for h in s:
+            by_shingle[h].append(k)
+    root = lambda k: k if least[k] == k else root(least[k])
+    around = 0
+    for i, j in sorted({(x, y) for m in by_shingle.values() for x in m for y in m if x < y}):
+        both = len(sets[i] & sets[j])
+        if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+            around += 10 * both < 8.5 * (len(sets[i]) + len(sets[j]) - both)
+            x, y = sorted((root(i), root(j)))
+            least[y] = x
+    assert around > 100
+    assert {r["doc_id"] for r in near_dedup.distinct(documents(spark, texts)).collect()} == {k for k in range(n) if least[k] == k}
+    monkeypatch.setattr(near_dedup, "links", lambda *a: spark.createDataFrame([], near_dedup.LINKS))  # the join alone, with large meetings
+    assert {r["doc_id"] for r in near_dedup.distinct(documents(spark, texts)).collect()} == {k for k in range(n) if least[k] == k}
+
+
 def test_language_model(spark):
     texts = odd_texts(random.Random(11), 120)
     ids = ids_for(texts)
