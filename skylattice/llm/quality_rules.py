@@ -8,8 +8,9 @@ adds a distinct line once, counts combine before the shuffle, and the join back
 moves hashes, never texts, with skew left to the adaptive join.
 
 Nulls and empties: a null text has no words and no lines; it fails the base
-rule.  A null host is a host of its own.  Repeated rows count once each.  An
-empty table gives an empty result.
+rule.  A null host is a host of its own.  A line's documents are the distinct
+doc_ids that hold it, null not counted; each row, with a null or repeated doc_id
+too, is judged by what its own text loses.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -65,40 +66,55 @@ def base_counts(rows: DataFrame) -> DataFrame:
     return x.withColumn("n_repeat_words", F.aggregate("_r", start, step, lambda a: a["n"])).drop("_w", "_l", "_h", "_s", "_r")
 
 
+def keyed(documents: DataFrame) -> DataFrame:
+    """doc_id, text, source and row_key, equal for rows with equal host and text; with doc_id it tells what a row loses."""
+    return documents.select("doc_id", "text", "source", F.xxhash64(F.coalesce("source", F.lit("\x00")), "text").alias("row_key"))
+
+
 def line_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, host, line (hash), n (words in all its occurrences): a row for each distinct normalised line of a document.
+    """doc_id, row_key, host, line (hash), n (words in all its occurrences): a row for each distinct normalised line of a (keyed) document.
 
     Equal lines are neighbours in the sorted array, and have equally many words.
     """
     each = F.transform(lines(F.col("text")), lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words(x)).cast("long").alias("n")))
-    rows = documents.select("doc_id", F.coalesce("source", F.lit("\x00")).alias("host"), F.sort_array(each).alias("_s"))
+    rows = documents.select("doc_id", "row_key", F.coalesce("source", F.lit("\x00")).alias("host"), F.sort_array(each).alias("_s"))
     first = lambda x, i: (i == 0) | (F.get("_s", i - 1)["line"] != x["line"])
     rows = rows.withColumn("_p", F.filter(F.transform("_s", lambda x, i: F.when(first(x, i), i)), lambda i: i.isNotNull()))
     entry = lambda i, k: F.struct(F.get("_s", i)["line"].alias("line"), (F.get("_s", i)["n"] * (F.coalesce(F.get("_p", k + 1), F.size("_s")) - i)).alias("n"))
-    return rows.select("doc_id", "host", F.explode(F.transform("_p", entry)).alias("x")).select("doc_id", "host", "x.line", "x.n")
+    return rows.select("doc_id", "row_key", "host", F.explode(F.transform("_p", entry)).alias("x")).select("doc_id", "row_key", "host", "x.line", "x.n")
 
 
 def common_lines(rows: DataFrame, max_docs: int) -> DataFrame:
     """host, line of the lines that more than max_docs documents of a host hold."""
-    return rows.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "line")
+    return rows.groupBy("host", "line").agg(F.count_distinct("doc_id").alias("docs")).where(F.col("docs") > max_docs).select("host", "line")
+
+
+def lost_lines(rows: DataFrame, max_docs: int) -> DataFrame:
+    """lost_id, row_key, lost (line, n): the boilerplate lines of each document, once also where its row is repeated."""
+    common = rows.join(common_lines(rows, max_docs), ["host", "line"])
+    return common.groupBy(F.col("doc_id").alias("lost_id"), "row_key").agg(F.collect_set(F.struct("line", "n")).alias("lost"))
+
+
+def with_lost(rows: DataFrame, lost: DataFrame) -> DataFrame:
+    """Adds lost to keyed rows."""
+    return rows.join(lost, (rows["row_key"] == lost["row_key"]) & rows["doc_id"].eqNullSafe(lost["lost_id"]), "left").drop("lost_id", "row_key")
 
 
 def judge(documents: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_boilerplate, kept."""
-    documents = documents.select("doc_id", "text", "source")
-    rows = line_rows(documents)
-    lost = rows.join(common_lines(rows, max_docs), ["host", "line"]).groupBy("doc_id").agg(F.sum("n").alias("n_boilerplate"))
+    documents = keyed(documents)
+    n_lost = F.aggregate("lost", F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    lost = lost_lines(line_rows(documents), max_docs).withColumn("n_boilerplate", n_lost).drop("lost")
     base = base_counts(documents).drop("text", "source")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = base.join(lost, "doc_id", "left").withColumn("n_boilerplate", F.coalesce("n_boilerplate", F.lit(0)).cast("long"))
+    out = with_lost(base, lost).withColumn("n_boilerplate", F.coalesce("n_boilerplate", F.lit(0)).cast("long"))
     out = out.withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_boilerplate") <= max_share * F.col("n_words")))
 
 
 def clean(documents: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """doc_id and text without the lines that more than max_docs documents of its host hold."""
-    documents = documents.select("doc_id", "text", "source")
-    rows = line_rows(documents)
-    drop = rows.join(common_lines(rows, max_docs), ["host", "line"]).groupBy("doc_id").agg(F.collect_set("line").alias("_drop"))
+    documents = keyed(documents)
+    lost = lost_lines(line_rows(documents), max_docs).withColumn("_drop", F.col("lost")["line"]).drop("lost")
     kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.coalesce("_drop", F.array().cast("array<bigint>")), F.xxhash64(normalised(x))))
-    return documents.join(drop, "doc_id", "left").select("doc_id", F.array_join(kept, "\n").alias("text"))
+    return with_lost(documents, lost).select("doc_id", F.array_join(kept, "\n").alias("text"))

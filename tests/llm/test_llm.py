@@ -484,6 +484,18 @@ def test_quality_rules(spark):
     assert len(cleaned) == len(texts) and cleaned[ids[3]] == "one"
 
 
+def test_quality_rules_with_repeated_and_null_ids(spark):
+    say = lambda name, n: " ".join(f"{name}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n))
+    lone, common = say("lone", 60), say("common", 30)
+    rows = [(1, lone)] * 101 + [(k, f"{say(f'own{chr(97 + k % 26)}{chr(97 + k // 26)}', 70)}\n{common}") for k in range(2, 110)]
+    rows += [rows[-1], (None, f"{common}\n{say('few', 25)}")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    got = {(r["doc_id"], r["n_boilerplate"], r["kept"]) for r in quality_rules.judge(docs).collect()}
+    assert got == {(1, 0, True), *((k, 30, True) for k in range(2, 110)), (None, 30, False)}
+    texts = {(r["doc_id"], r["text"]) for r in quality_rules.clean(docs).collect()}
+    assert (1, lone) in texts and (None, say("few", 25)) in texts and len(texts) == 110
+
+
 def test_token_output(spark):
     from tokenizers import Tokenizer
 
