@@ -3,13 +3,15 @@
 A shard is some megabytes of documents.  Its suffix array holds the suffixes
 whose first words all occur in the benchmark (others can match nothing), sorted
 by packed word numbers and refined only where suffixes still tie, never deeper
-than the longest benchmark item.  Every benchmark suffix is binary-searched in
-it, all at once: the insertion place gives its longest verbatim match and where
-that is; the interval of its window gives every occurrence to mark.  Shards are
+than the longest benchmark item.  The distinct windows of the benchmark are
+binary-searched in it, all at once: the interval of each gives every occurrence
+to mark.  ``longest_matches``, apart, searches every benchmark suffix: the
+insertion place gives its longest verbatim match and where that is.  Shards are
 independent, so the corpus is read once and nothing is shuffled.
 
 The benchmark is a stated query set.  It goes to the executors in slices of
 bounded size; a benchmark of many slices is matched slice by slice in each task.
+One of more than MOST_BENCHMARK_BYTES of text is refused.
 
 Nulls and empties: null or empty texts have no words, no hits and no windows.  A
 null item_id still marks words but is not listed.  Repeated rows are judged one
