@@ -15,15 +15,23 @@
 4. A shard reports a spanning forest of its links, never all pairs of a group,
    and the components of these links are found by distributed star contraction.
 
+Levels that one sample cannot place are dealt in further rounds, each shard by a
+tree of its own sample, until shards have the wanted size.  The segments are
+pigeonholes and the trees search each of them: both prune.  Where one value of a
+segment dominates a shard, its tree goes on over all 64 bits.
+
 ``distinct`` (the pipeline's stage) is about sets of shingles: two texts link if
 the Jaccard similarity of their sets is high enough, and each link is verified
-by it.  Texts of which too few shingles occur elsewhere have no partner.  Of the
+by it.  Texts with equal sets are one class, of which one text is looked at.
+Texts of which too few shingles occur in another class have no partner.  Of the
 rest, trees over 128 bits join most; what these leave apart meets in a prefix
 join (the rarest shingles of each set, by counts over all), which misses no pair.
 
 Nulls and empties: null and empty texts have fingerprint zero and are linked
-like any other.  A null doc_id orders before all others.  Repeated rows have
-equal fingerprints and each keeps its row.  An empty table gives an empty result.
+like any other.  A null doc_id orders before all others.  For op4, repeated rows
+have equal fingerprints and each keeps its row.  For ``distinct`` a row is its
+doc_id and its text: rows that repeat both are copies, of which one stays, and
+two texts under one doc_id are two documents.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +56,10 @@ SHARD = 16_384
 LEAF = 1_024
 #: Segments of a 64-bit word, each with its tree.
 SEGMENTS = 3
-#: Levels that the sample can place: beyond them, shards grow and split inside.
+#: Levels that one sample places; more are placed in further rounds.
 MOST_LEVELS = 10
+#: Levels of a further round (a shard's tree travels with its rows), and fingerprints of a shard, about, that place them.
+MORE_LEVELS, SHARD_SAMPLE = 4, 4_096
 
 
 def joined_words(texts: pa.Array) -> tuple[text.Words, bytes, list[int], list[int]]:
@@ -92,6 +102,10 @@ def majority(hashes: np.ndarray) -> np.uint64:
     return np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
+#: All bits of a word.
+WHOLE = np.uint64(2**64 - 1)
+
+
 def segments(m: int) -> list[np.uint64]:
     """Masks of m segments of the 64 bits."""
     edges = [64 * k // m for k in range(m + 1)]
@@ -127,13 +141,13 @@ def build(sample: np.ndarray, mask: np.uint64, levels: int, seed: int) -> list[t
     return nodes
 
 
-def route(points: np.ndarray, nodes: list[tuple[int, int]], levels: int, mask: np.uint64, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the point, shard, owner) of each place that a point goes to.
+def route(points: np.ndarray, nodes: list[tuple[int, int]], levels: int, mask: np.uint64, radius: int, owner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the point, shard, owner) of each place that a point goes to. owner: which points are owners above (default: all).
 
     A pair on two sides of a boundary must meet once: the point on the left
     visits the right.  Visitors go on to every side that their ball reaches.
     """
-    index, node, owner = np.arange(len(points)), np.zeros(len(points), np.int64), np.ones(len(points), bool)
+    index, node, owner = np.arange(len(points)), np.zeros(len(points), np.int64), np.ones(len(points), bool) if owner is None else owner.copy()
     vantage, median = np.array([n[0] for n in nodes], np.uint64), np.array([n[1] for n in nodes], np.int64)
     for _ in range(levels):
         d = distance(points[index], vantage[node], mask).astype(np.int64)
@@ -189,47 +203,50 @@ class Search:
     words together in `most_wide` at most (where that is given).
     """
 
-    def __init__(self, points: np.ndarray, owner: np.ndarray, mask: np.uint64, radius: int, near: int, most: int, most_wide: int | None = None):
+    def __init__(self, points: np.ndarray, owner: np.ndarray, mask: np.uint64, radius: int, near: int, most: int, most_wide: int | None = None, earlier: list[tuple[int, np.uint64]] = ()):
+        """earlier: (word, mask) of the trees that already find a pair within the radius there."""
         self.p, self.wide, self.owner = np.ascontiguousarray(points[:, 0]), np.ascontiguousarray(points[:, 1]), owner
-        self.mask, self.radius, self.near, self.most, self.most_wide = mask, radius, near, most, most_wide
+        self.mask, self.radius, self.near, self.most, self.most_wide, self.earlier = mask, radius, near, most, most_wide, earlier
         self.links = Links(len(points))
         self.far: list[tuple[np.ndarray, np.ndarray]] = []
         self.met = np.zeros(len(points), bool)
 
     def run(self) -> "Search":
         own = np.flatnonzero(self.owner)
-        stack = [(own, None), (own, np.flatnonzero(~self.owner))]
+        by_segment = (self.mask, self.radius)
+        stack = [(own, None, by_segment), (own, np.flatnonzero(~self.owner), by_segment)]
         while stack:
-            a, b = stack.pop()
-            stack += self._step(a, b)
+            stack += self._step(*stack.pop())
         return self
 
-    def _step(self, a: np.ndarray, b: np.ndarray | None) -> list:
+    def _step(self, a: np.ndarray, b: np.ndarray | None, metric: tuple[np.uint64, int]) -> list:
+        """One vantage point: the pairs of parts that remain, each with its metric (mask, radius)."""
         if not len(a) or b is not None and not len(b):
             return []
+        mask, r = metric
         if b is None and len(a) <= LEAF or b is not None and len(a) * len(b) <= LEAF * LEAF:
             self._compare(a, b)
             return []
         larger = a if b is None or len(a) >= len(b) else b
         v = self.p[larger[len(larger) // 2]]
-        da = distance(self.p[a], v, self.mask).astype(np.int64)
-        db = None if b is None else distance(self.p[b], v, self.mask).astype(np.int64)
+        da = distance(self.p[a], v, mask).astype(np.int64)
+        db = None if b is None else distance(self.p[b], v, mask).astype(np.int64)
         d = da if larger is a else db
         mu = int(np.median(d))
         if mu == int(d.max()):
             mu -= 1
-        if mu < int(d.min()):  # all at one distance: nothing to prune
+        left, right = da <= mu, da > mu
+        even = left if larger is a else db <= mu
+        if mu < int(d.min()) or b is not None and min(even.sum(), len(even) - even.sum()) * 20 < len(even):
+            # (nearly) all at one distance: nothing to prune here, so the whole word is the metric from here on
+            if mask != WHOLE:
+                return [(a, b, (WHOLE, self.most))]
             self._compare(a, b)
             return []
-        r = self.radius
-        left, right = da <= mu, da > mu
         if b is None:
-            return [(a[left], None), (a[right], None), (a[left & (da + r > mu)], a[right & (da - r <= mu)])]
+            return [(a[left], None, metric), (a[right], None, metric), (a[left & (da + r > mu)], a[right & (da - r <= mu)], metric)]
         bl, br = db <= mu, db > mu
-        if larger is a and min(left.sum(), right.sum()) * 20 < len(a) or larger is b and min(bl.sum(), br.sum()) * 20 < len(b):
-            self._compare(a, b)
-            return []
-        return [(a[left], b[bl]), (a[right], b[br]), (a[left & (da + r > mu)], b[br & (db - r <= mu)]), (a[right & (da - r <= mu)], b[bl & (db + r > mu)])]
+        return [(a[left], b[bl], metric), (a[right], b[br], metric), (a[left & (da + r > mu)], b[br & (db - r <= mu)], metric), (a[right & (da - r <= mu)], b[bl & (db + r > mu)], metric)]
 
     def _compare(self, a: np.ndarray, b: np.ndarray | None) -> None:
         """All 64 bits, block by block."""
@@ -245,6 +262,9 @@ class Search:
                 if self.most_wide is not None:
                     d += np.bitwise_count(self.wide[u] ^ self.wide[v])
                     ok &= d <= self.most_wide
+                for word, mask in self.earlier:
+                    a_word = self.p if word == 0 else self.wide
+                    ok &= (distance(a_word[u], a_word[v], mask) > self.radius) | (distance(a_word[u], a_word[v], WHOLE) > self.most)
                 u, v, d = u[ok], v[ok], d[ok]
                 if self.near < 0:  # nothing joins: the points are enough, the pairs are not kept
                     self.met[u] = self.met[v] = True
@@ -266,70 +286,116 @@ class Search:
         return np.unique(np.concatenate([np.flatnonzero(self.met), none, *(x[label[u] != label[v]] for u, v in self.far for x in (u, v))]))
 
 
-LINKS = "shard int, a long, b long, label long, fp long, wide long, owner boolean"
+POINTS = "tree int, shard long, node long, fp long, wide long, owner boolean"
+LINKS = "tree int, shard long, a long, b long, label long, fp long, wide long, owner boolean"
 
 
-def links(classes: DataFrame, near: int, most: int, radius: int, most_wide: int | None = None) -> DataFrame:
-    """A forest (a, b: nodes) of the links at `near` bits or fewer; rows with NULL b are points, by shard, with links further off that it leaves apart (with near = -1 all points with a link).
+def _routed(batch: pa.RecordBatch, tree: int, shard: int, points: np.ndarray, nodes: list[tuple[int, int]], levels: int, mask: np.uint64, radius: int, owner: np.ndarray) -> pa.RecordBatch:
+    """Rows (node, fp, wide) of a batch at their places below a shard."""
+    index, below, owns = route(points, nodes, levels, mask, radius, owner)
+    taken = pa.array(index)
+    rows = [batch.column(batch.schema.get_field_index(c)).take(taken) for c in ("node", "fp", "wide")]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(index), tree, np.int32)), pa.array((shard << levels) + below), *rows, pa.array(owns)], names=["tree", "shard", "node", "fp", "wide", "owner"])
 
-    classes: node, fp, wide; a row for each distinct fingerprint.  There is a
-    tree for each segment (of both words, where most_wide is given).
-    """
+
+def dealt(classes: DataFrame, trees_of: list[tuple[int, np.uint64]], radius: int, folder: str) -> DataFrame:
+    """Every fingerprint (node, fp, wide) at its places: tree, shard, owner."""
     n = classes.count()
-    trees_of = [(w, mask) for w in range(1 if most_wide is None else 2) for mask in segments(SEGMENTS)]
     levels = 0
-    while levels < MOST_LEVELS and SHARD << levels < n:
+    while SHARD << levels < n:
         levels += 1
+    now = min(levels, MOST_LEVELS)
     chosen = classes.orderBy(F.xxhash64("fp")).limit(SAMPLE if levels else 0).select("fp", "wide").collect()
     sample = np.array([tuple(r) for r in chosen], np.int64).reshape(-1, 2).view(np.uint64)
-    trees = [build(sample[:, w], mask, levels, k) for k, (w, mask) in enumerate(trees_of)]
+    trees = [build(sample[:, w], mask, now, k) for k, (w, mask) in enumerate(trees_of)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, ((w, mask), tree) in enumerate(zip(trees_of, trees)):
-                word = batch.column(1 + w).to_numpy(zero_copy_only=False).view(np.uint64)
-                index, shard, owner = route(word, tree, levels, mask, radius)
-                taken = pa.array(index)
-                yield pa.RecordBatch.from_arrays([pa.array((shard * len(trees_of) + k).astype(np.int32)), *(c.take(taken) for c in batch.columns), pa.array(owner)], names=["shard", "node", "fp", "wide", "owner"])
+                yield _routed(batch, k, 0, batch.column(1 + w).to_numpy(zero_copy_only=False).view(np.uint64), tree, now, mask, radius, np.ones(batch.num_rows, bool))
+
+    def grow(step: int):
+        def of_sample(group: pa.Table) -> pa.Table:
+            k = group.column("tree")[0].as_py()
+            w, mask = trees_of[k]
+            nodes = build(group.column("fp" if w == 0 else "wide").to_numpy().view(np.uint64), mask, step, k)
+            return pa.table({"tree": group.column("tree")[:1], "shard": group.column("shard")[:1], "nodes": pa.array([np.array(nodes, object).astype(np.uint64).tobytes()], pa.binary())})
+
+        def deal_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                tree, shard = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                for k, at in np.unique(np.stack((tree.astype(np.int64), shard), 1), axis=0).tolist():
+                    part = batch.filter(pa.array((tree == k) & (shard == at)))
+                    w, mask = trees_of[k]
+                    nodes = np.frombuffer(part.column(6)[0].as_py() or b"", np.uint64).reshape(-1, 2)
+                    nodes = [(int(v), int(mu)) for v, mu in nodes] or [(0, 64)] * (2**step - 1)
+                    yield _routed(part, k, at, part.column(3 + w).to_numpy(zero_copy_only=False).view(np.uint64), nodes, step, mask, radius, part.column(5).to_numpy(zero_copy_only=False))
+
+        return of_sample, deal_on
+
+    out = classes.select("node", "fp", "wide").mapInArrow(deal, POINTS)
+    while now < levels:
+        step = min(levels - now, MORE_LEVELS)
+        out = storage.save(out, f"{folder}/dealt-{now}")
+        share = max(1, n // (SHARD_SAMPLE << now))
+        of_sample, deal_on = grow(step)
+        nodes = out.where(F.col("owner") & (F.pmod(F.xxhash64("fp", "wide"), F.lit(share)) == 0)).groupBy("tree", "shard").applyInArrow(of_sample, "tree int, shard long, nodes binary")
+        nodes = storage.save(nodes, f"{folder}/nodes-{now}")
+        out = out.join(nodes, ["tree", "shard"], "left").select("tree", "shard", "node", "fp", "wide", "owner", "nodes").mapInArrow(deal_on, POINTS)
+        now += step
+    return out
+
+
+def links(classes: DataFrame, near: int, most: int, radius: int, folder: str, most_wide: int | None = None) -> DataFrame:
+    """A forest (a, b: nodes) of the links at `near` bits or fewer; rows with NULL b are points, by tree and shard, with links further off that it leaves apart (with near = -1 all points with a link).
+
+    classes: node, fp, wide; a row for each distinct fingerprint.  There is a
+    tree for each segment (of both words, where most_wide is given).  With near
+    = -1 a pair counts in the first tree that can find it and in no other.
+    """
+    trees_of = [(w, mask) for w in range(1 if most_wide is None else 2) for mask in segments(SEGMENTS)]
 
     def search(group: pa.Table) -> pa.Table:
-        w, mask = trees_of[group.column("shard")[0].as_py() % len(trees_of)]
+        k = group.column("tree")[0].as_py()
+        w, mask = trees_of[k]
         words = [group.column(c).to_numpy().view(np.uint64) for c in ("fp", "wide")]
-        found = Search(np.stack([words[w], words[1 - w]], 1), group.column("owner").to_numpy(), mask, radius, near, most, most_wide).run()
+        earlier = [(0 if x == w else 1, m) for x, m in trees_of[:k]] if near < 0 else []
+        found = Search(np.stack([words[w], words[1 - w]], 1), group.column("owner").to_numpy(), mask, radius, near, most, most_wide, earlier).run()
         (a, b), open_ = found.forest(), found.open()
         node = group.column("node").to_numpy()
         forest = pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
         rest = group.take(pa.array(open_)).append_column("label", pa.array(node[found.links.label[open_]]))
-        both = pa.concat_tables([forest, rest.rename_columns(["shard", "a", "fp", "wide", "owner", "label"])], promote_options="default")
-        return both.select(["shard", "a", "b", "label", "fp", "wide", "owner"])
+        both = pa.concat_tables([forest, rest.rename_columns(["tree", "shard", "a", "fp", "wide", "owner", "label"])], promote_options="default")
+        return both.select(["tree", "shard", "a", "b", "label", "fp", "wide", "owner"])
 
-    dealt = classes.select("node", "fp", "wide").mapInArrow(deal, "shard int, node long, fp long, wide long, owner boolean")
-    return dealt.groupBy("shard").applyInArrow(search, LINKS)
+    return dealt(classes, trees_of, radius, folder).groupBy("tree", "shard").applyInArrow(search, LINKS)
 
 
-def fingerprinted(documents: DataFrame, shingle: int, folder: str, wide: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(doc_id (NULL_ID for null), fp, wide of each row; node, fp, wide of each distinct fingerprint, node its least doc_id), written once.
+def fingerprinted(documents: DataFrame, shingle: int, folder: str, wide: bool = False) -> DataFrame:
+    """doc_id (NULL_ID for null), tag (hash of the text), fp, wide, same of each row, written once.
 
-    wide: of each distinct set of shingles, told apart by the hash of the whole set.
+    wide: of each distinct set of shingles; same then is the hash of the whole set.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
             fp = fingerprints(batch.column(1), shingle, wide).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(text.ids(batch.column(0))), **{name: pa.array(fp[:, k].copy()) for k, name in enumerate(("fp", "wide", "same"))}})
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(text.ids(batch.column(0))), "tag": batch.column(2), **{name: pa.array(fp[:, k].copy()) for k, name in enumerate(("fp", "wide", "same"))}})
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = storage.save(rows.mapInArrow(scan, "doc_id long, fp long, wide long, same long"), f"{folder}/fingerprints")
-    classes = storage.save(rows.groupBy("fp", "wide", "same").agg(F.min("doc_id").alias("node")).select("node", "fp", "wide"), f"{folder}/classes")
-    return rows, classes
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    return storage.save(rows.mapInArrow(scan, "doc_id long, tag long, fp long, wide long, same long"), f"{folder}/fingerprints")
 
 
 def components(documents: DataFrame, shingle: int = 4, most: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links of `most` bits or fewer)."""
     folder = storage.work_dir(documents.sparkSession, "simhash")
-    rows, classes = fingerprinted(documents, shingle, folder)
-    found = cc.components(links(classes, most, most, most // SEGMENTS).select("a", "b"), folder)
-    member = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    rows = fingerprinted(documents, shingle, folder)
+    # a node is a distinct fingerprint; its order is that of its smallest doc_id, which two fingerprints may share
+    classes = storage.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("wide"), "least"), f"{folder}/classes")
+    found = cc.components(storage.save(links(classes, most, most, most // SEGMENTS, folder).select("a", "b"), f"{folder}/links"), folder)
+    member = storage.save(classes.join(found, "node", "left").select("fp", "least", F.coalesce("component", "node").alias("a")), f"{folder}/members")
+    smallest = member.groupBy("a").agg(F.count("*").alias("n"), F.min("least").alias("m"))
+    member = cc.told(member, smallest, max(cc.HOT_EDGES, member.count() // 1000)).select("fp", F.col("m").alias("component_id"))
     real = lambda c: F.when(F.col(c) != F.lit(text.NULL_ID), F.col(c)).alias(c)
     return rows.join(member, "fp").select(real("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real("component_id"))
 
@@ -390,31 +456,37 @@ def least_common(size: np.ndarray, similarity: float) -> np.ndarray:
     return np.ceil(similarity * size - 1e-9).astype(np.int64)
 
 
-def shared(documents: DataFrame, shingle: int, similarity: float, folder: str) -> DataFrame:
-    """doc_id (NULL_ID for null) of the texts of which enough shingles occur in another text.
+def shared(texts: DataFrame, shingle: int, similarity: float, folder: str) -> DataFrame:
+    """a: the nodes of texts (node, text) of which enough shingles occur in another text.
 
     A text similar to another has at least `similarity` of its shingles in
     common with it, so the others have no partner.  Blocks send their shingles
     to buckets, and a bucket answers each block how many of each text's
-    shingles it has from other texts too.
+    shingles it has from other texts too.  A block's nodes and sizes travel with
+    what it sends to one of the buckets.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = exchange.buckets_for(exchange.text_bytes(rows))
+    buckets = exchange.buckets_for(exchange.text_bytes(texts))
     low = np.uint64(64 - SHORT)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
+        from pyspark import TaskContext
+
+        for k, batch in enumerate(text.blocks(batches, "text", exchange.BLOCK_BYTES)):
             sets = [np.unique(h) for h in shingle_hashes(batch.column(1), shingle)]
             size = np.array([len(x) for x in sets])
             key, doc = np.concatenate(sets) >> low << low, np.repeat(np.arange(len(sets)), size)
             order = np.argsort(key, kind="stable")
             key, doc = key[order], doc[order].astype(np.uint32)
-            out = [(0, -1, exchange.pack_parts(text.ids(batch.column(0)).tobytes(), size.astype(np.int64).tobytes()))]
+            head = exchange.pack_parts(batch.column(0).to_numpy().tobytes(), size.astype(np.int64).tobytes())
             edges = np.searchsorted(exchange.bucket_of(key, buckets), np.arange(buckets + 1))
-            out += [(1, b, exchange.pack_parts(exchange.squeeze_hashes(key[lo:hi]), exchange.squeeze(doc[lo:hi]))) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
-            name = uuid.uuid4().hex
-            for kind, b, data in out:
-                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([data], pa.binary())})
+            # the same name when a lost task runs again: what was sent before still fits
+            name = f"{TaskContext.get().partitionId()}-{k}"
+            home = k % buckets
+            sent = [b for b in range(buckets) if edges[b + 1] > edges[b] or b == home]
+            for b in sent:
+                lo, hi = edges[b], edges[b + 1]
+                data = exchange.pack_parts(exchange.squeeze_hashes(key[lo:hi]), exchange.squeeze(doc[lo:hi]), head if b == home else b"")
+                yield pa.RecordBatch.from_pydict({"block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([data], pa.binary())})
 
     def answer(group: pa.Table) -> pa.Table:
         sent = [exchange.parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")]
@@ -422,39 +494,34 @@ def shared(documents: DataFrame, shingle: int, similarity: float, folder: str) -
         _, inverse, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         again, at = (times > 1)[inverse], np.cumsum([0, *map(len, keys)])
         data = [exchange.squeeze(np.bincount(exchange.expand(p[1], np.uint32)[again[lo:hi]]).astype(np.uint32)) for p, lo, hi in zip(sent, at, at[1:])]
-        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "data": pa.array(data, pa.binary())})
+        return pa.table({"block": group.column("block"), "said": pa.array(data, pa.binary()), "head": pa.array([p[2] or None for p in sent], pa.binary())})
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, said in zip(batch.column(0), batch.column(1).to_pylist()):
-                ids, size = (np.frombuffer(p, np.int64) for p in exchange.parts_of(data.as_py()))
-                total = np.zeros(len(ids), np.int64)
-                for r in said or []:
-                    n = exchange.expand(r["data"], np.uint32)
+            for head, said in zip(batch.column(0), batch.column(1).to_pylist()):
+                nodes, size = (np.frombuffer(p, np.int64) for p in exchange.parts_of(head.as_py()))
+                total = np.zeros(len(nodes), np.int64)
+                for data in said:
+                    n = exchange.expand(data, np.uint32)
                     total[: len(n)] += n
-                yield pa.RecordBatch.from_pydict({"a": pa.array(ids[(size > 0) & (total >= least_common(size, similarity))])})
+                yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[(size > 0) & (total >= least_common(size, similarity))])})
 
-    table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")
-    replies = table.where("kind = 1").select("block", "bucket", "data").groupBy("bucket").applyInArrow(answer, "block string, bucket int, data binary")
+    replies = texts.mapInArrow(make, "block string, bucket int, data binary").groupBy("bucket").applyInArrow(answer, "block string, said binary, head binary")
     replies = storage.save(replies, f"{folder}/replies")
-    storage.drop(documents.sparkSession, f"{folder}/blocks/kind=1")
-    blocks = documents.sparkSession.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
-    out = storage.save(exchange.answered(blocks, replies).mapInArrow(add_up, "a long").distinct(), f"{folder}/shared")
-    for name in ("blocks", "replies"):
-        storage.drop(documents.sparkSession, f"{folder}/{name}")
+    by_block = replies.groupBy("block").agg(F.max("head").alias("head"), F.collect_list("said").alias("said"))
+    out = storage.save(by_block.select("head", "said").mapInArrow(add_up, "a long"), f"{folder}/shared")
+    storage.drop(texts.sparkSession, f"{folder}/replies")
     return out
 
 
-def sets_of(points: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
-    """a, s: the sorted distinct shingle hashes of the documents that points (a) name."""
-    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
+def sets_of(texts: DataFrame, shingle: int) -> DataFrame:
+    """a, s: the sorted distinct shingle hashes of texts (node, text)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
             yield pa.RecordBatch.from_pydict({"a": batch.column(0), "s": pa.array([np.unique(h).tobytes() for h in shingle_hashes(batch.column(1), shingle)], pa.binary())})
 
-    rows = documents.select(key.alias("a"), "text").join(points.hint("shuffle_hash"), "a", "left_semi")
-    return rows.mapInArrow(sets, "a long, s binary").dropDuplicates(["a"])
+    return texts.select("node", "text").mapInArrow(sets, "a long, s binary")
 
 
 def postings(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
@@ -546,20 +613,39 @@ def joined(points: DataFrame, sets: DataFrame, similarity: float, folder: str) -
 
 def distinct(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents, with all their columns, of which one of each group of near-duplicates stays (the one of least doc_id)."""
-    folder = storage.work_dir(documents.sparkSession, "near")
-    _, classes = fingerprinted(documents, shingle, folder, wide=True)
-    able = shared(documents, shingle, similarity, folder)
-    able = storage.save(classes.join(able, classes["node"] == able["a"], "left_semi"), f"{folder}/able")
-    sets = storage.save(sets_of(able.select(F.col("node").alias("a")), documents, shingle), f"{folder}/known")
-    found = storage.save(links(able, -1, MOST, SEGMENT_RADIUS, MOST_WIDE), f"{folder}/links")
-    near = found.join(sets, "a").groupBy("shard").applyInArrow(lambda group: verify(group, similarity), "a long, b long")
+    spark = documents.sparkSession
+    folder = storage.work_dir(spark, "near")
+    done = lambda *names: [storage.drop(spark, f"{folder}/{name}") for name in names]
+    rows = fingerprinted(documents, shingle, folder, wide=True)
+    # a class is a distinct set of shingles, named by its hash; its first text stands for it
+    classes = rows.groupBy(F.col("same").alias("node")).agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.min(F.struct("doc_id", "tag")).alias("x"))
+    classes = storage.save(classes.select("node", "fp", "wide", "x.doc_id", "x.tag"), f"{folder}/classes")
+    counted = rows.agg(F.count("*").alias("n"), F.count_distinct("doc_id", "tag").alias("d")).head()
+    key = [F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID)).alias("_doc"), F.xxhash64(documents["text"]).alias("_tag")]
+    named = lambda df: df.select("node", F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"))
+    texts = documents.select(*key, F.col("text")).join(named(classes).hint("shuffle_hash"), ["_doc", "_tag"]).select("node", "text")
+    if counted["d"] < counted["n"]:
+        texts = texts.dropDuplicates(["node"])
+    texts = storage.save(texts, f"{folder}/texts")
+    able = shared(texts, shingle, similarity, folder)
+    texts = texts.join(able.withColumnRenamed("a", "node").hint("shuffle_hash"), "node", "left_semi")
+    sets = storage.save(sets_of(texts, shingle), f"{folder}/known")
+    done("texts", "fingerprints")
+    able = storage.save(classes.join(able, classes["node"] == able["a"], "left_semi").select("node", "fp", "wide"), f"{folder}/able")
+    found = storage.save(links(able, -1, MOST, SEGMENT_RADIUS, folder, MOST_WIDE), f"{folder}/links")
+    near = found.join(sets, "a").groupBy("tree", "shard").applyInArrow(lambda group: verify(group, similarity), "a long, b long")
     near = storage.save(near, f"{folder}/near")
+    done("links", "able", "shared")
     labels = cc.components(near, f"{folder}/labels")
     labelled = sets.join(labels, sets["a"] == labels["node"], "left").select("a", F.coalesce("component", "a").alias("label"), "s")
-    rest = joined(postings(labelled, similarity, folder), sets, similarity, folder)
-    again = cc.components(near.unionByName(rest), f"{folder}/all").where("node <> component").select("node")
-    for name in ("fingerprints", "shared", "able", "known", "links", "near", "labels", "sets", "set-totals", "meetings"):
-        storage.drop(documents.sparkSession, f"{folder}/{name}")
-    kept = classes.select("node").join(again, "node", "left_anti")
-    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
-    return documents.join(kept.hint("shuffle_hash"), key == kept["node"], "left_semi")
+    rest = storage.save(joined(postings(labelled, similarity, folder), sets, similarity, folder), f"{folder}/rest")
+    done("known", "sets", "set-totals", "meetings")
+    of = cc.components(near.unionByName(rest), f"{folder}/all")
+    grouped = classes.join(of, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min(F.struct("doc_id", "tag")).alias("x"))
+    kept = storage.save(grouped.select(F.col("x.doc_id").alias("_doc"), F.col("x.tag").alias("_tag")), f"{folder}/kept")
+    done("near", "rest", "labels", "all", "classes")
+    whole = documents.select(F.struct(*(documents[c] for c in documents.columns)).alias("_row"), *key)
+    out = whole.join(kept.hint("shuffle_hash"), ["_doc", "_tag"], "left_semi")
+    if counted["d"] < counted["n"]:
+        out = out.dropDuplicates(["_doc", "_tag"])
+    return out.select("_row.*")

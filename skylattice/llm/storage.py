@@ -11,23 +11,33 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in tests on one machine.
+#: Used only where a session on one machine names no shared folder, as in tests.
 LOCAL_FALLBACK = "file:///tmp/skylattice-work"
+#: With it, the shuffle files of a job are deleted when the job ends.
+CLEAN_SHUFFLES = "spark.sql.shuffleDependency.fileCleanup.enabled"
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FALLBACK
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder under the session's shared folder; a cluster has to name one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return f"{(base or LOCAL_FALLBACK).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def save(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    """Writes df to path and reads it back: what follows no longer depends on df's lineage."""
+    """Writes df to path and reads it back: what follows no longer depends on df's lineage, so its shuffle files go at once."""
+    spark = df.sparkSession
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop(spark: SparkSession, path: str) -> None:

@@ -261,8 +261,11 @@ def brute_fingerprint(t, size=4):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def test_simhash(spark, monkeypatch):
+@pytest.mark.parametrize("levels", [10, 1])
+def test_simhash(spark, monkeypatch, levels):
     monkeypatch.setattr(near_dedup, "SHARD", 8)
+    monkeypatch.setattr(near_dedup, "MOST_LEVELS", levels)  # 1: all further levels are dealt in rounds, two at a time
+    monkeypatch.setattr(near_dedup, "MORE_LEVELS", 2)
     texts = odd_texts(random.Random(7), 90)
     ids = ids_for(texts)
     docs = documents(spark, texts, ids)
@@ -291,7 +294,7 @@ def test_vantage_point_trees(seed):
         index, shard, owner = near_dedup.route(p, tree, levels, mask, most // 3)
         for s in np.unique(shard):
             g = index[shard == s]
-            found = near_dedup.Search(np.stack([p[g], p[g]], 1), owner[shard == s], mask, most // 3, near, most).run()
+            found = near_dedup.Search(np.stack([p[g], p[g]], 1), owner[shard == s], mask, most // 3, near, most, earlier=[(0, m) for m in near_dedup.segments(3)[:k]] if near == most else []).run()
             a, b = found.forest()
             links.add(g[a], g[b])
             points = found.open()
@@ -326,6 +329,14 @@ def test_distinct(spark):
     kept = near_dedup.distinct(docs)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == set(range(30)) | set(range(40, 50)) | {50}
+    assert near_dedup.distinct(docs.limit(0)).count() == 0
+
+
+def test_distinct_with_repeated_rows_and_shared_ids(spark):
+    x, y, z = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
+    docs = documents(spark, [x, x, x, y, x, z, None, None], [1, 1, 2, 1, None, 3, None, 4])
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in near_dedup.distinct(docs).collect())
+    assert got == [(False, 0, ""), (False, 0, x), (True, 1, y), (True, 3, z)]
 
 
 def test_distinct_counts_each_shingle_once(spark):
