@@ -23,8 +23,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS_PER_URL = 16
 #: Longer lists meet the rows by a shuffle: at 16 bits each, 4 MB are broadcast at most.
 BROADCAST_URLS = 2_000_000
-#: Rules become one expression; a rule set is written by people.
-MAX_RULES = 500
+#: So many rules become one expression; more are a table that hosts are joined with.
+EXPRESSION_RULES = 500
 
 
 def rest(url: Column) -> Column:
@@ -52,8 +52,6 @@ def canonical(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, else nulls. A rule is (verdict, host with path)."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for says, text in sorted(rules, key=lambda r: len(r[1])):  # the last one that fits wins
         name, _, tail = text.partition("/")
@@ -63,6 +61,25 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
+def with_rules(rows: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """Adds rule, says: those of the longest rule that fits host and path.
+
+    Beyond EXPRESSION_RULES the rules are a table: each distinct host and path
+    looks up its host and all parent domains there, and rows take up the result.
+    """
+    if len(rules) <= EXPRESSION_RULES:
+        rule, says = rule_of(F.col("host"), F.col("path"), rules)
+        return rows.withColumns({"rule": rule, "says": says})
+    parts = [(says, text, text.partition("/")[0], f"/{text.partition('/')[2]}") for says, text in rules]
+    table = rows.sparkSession.createDataFrame(parts, "says string, rule string, rule_host string, rule_path string")
+    labels = F.split("host", "\\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    places = rows.select("host", "path").distinct()
+    fits = places.withColumn("rule_host", F.explode(parents)).join(table, "rule_host").where(F.startswith("path", F.col("rule_path")))
+    best = fits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "says"), F.length("rule")).alias("x")).select("host", "path", "x.rule", "x.says")
+    return rows.join(best, ["host", "path"], "left")
+
+
 def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks))
 
@@ -89,14 +106,16 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]], id_
     bloom, blocks = blocked_bloom(keys, n)
     url = F.col(url_column)
     rows = pages.select(F.col(id_column), host(url).alias("host"), path(url).alias("path"), canonical(url).alias("url_key"))
-    rows = rows.withColumn("block", F.coalesce(_block(F.col("url_key"), blocks), F.lit(-1)))
-    probed = rows.join(F.broadcast(bloom) if n <= BROADCAST_URLS else bloom, "block", "left")
+    small = n <= BROADCAST_URLS
+    # without a key a row has no block: it may not meet others of its kind in one task
+    block = _block(F.coalesce("url_key", F.concat_ws("\x00", "host", "path", id_column)), blocks)
+    probed = rows.withColumn("block", block).join(F.broadcast(bloom) if small else bloom, "block", "left")
     hit = F.lit(True)
     for k, b in enumerate(_bits(F.col("url_key"))):
         hit = hit & (F.col(f"w{k}").bitwiseAND(b) != 0)
     columns = [id_column, "host", "path", "url_key"]
     probed = probed.withColumn("possible", F.coalesce(hit, F.lit(False)))
     exact = probed.where("possible").select(*columns).join(keys.withColumn("listed", F.lit(True)).hint("shuffle_hash"), "url_key", "left")
-    out = exact.select(*columns, F.coalesce("listed", F.lit(False)).alias("listed")).unionByName(probed.where("not possible").select(*columns, F.lit(False).alias("listed")))
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return out.select(id_column, "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
+    out = exact.select(*columns, F.coalesce("listed", F.lit(False)).alias("listed"))
+    out = with_rules(out.unionByName(probed.where("not possible").select(*columns, F.lit(False).alias("listed"))), rules)
+    return out.select(id_column, "host", "path", "rule", F.coalesce("says", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
