@@ -4,9 +4,9 @@ Only *lengths* decide which pieces share a sequence, and there are at most
 ``capacity`` of them, so the plan is made on the histogram of lengths: a table
 of patterns (which lengths, in which order, how many times) that says nothing
 about single pieces and does not grow with the data.  Exact sums come first:
-for a length L the gap ``capacity - L`` is looked up among single lengths, then
-pair sums, then triple sums, and as many copies are consumed at once as the
-availability counts allow.  What no sum fills is packed best-fit, longest
+single lengths, pair sums and triple sums are indexed by their value, and for a
+length L the gap ``capacity - L`` is looked up among singles, then pairs, then
+triples; as many copies are consumed at once as the availability counts allow.  What no sum fills is packed best-fit, longest
 first, again many copies at once.  Pieces then find their place by their rank
 among the pieces of equal length, counted in salted groups so that a length
 that a third of all pieces have is never in one task.
@@ -33,14 +33,46 @@ GROUP_ROWS = 100_000
 BATCH_BYTES = 4_000_000
 
 
+class SumIndex:
+    """Sums of two and of three of some lengths, hashed by their value (up to capacity - 1).
+
+    A bucket of sum s is a slice of arrays that are sorted by the sum: the pairs
+    (a, s - a), and for triples the third lengths c for which s - c has a pair.
+    """
+
+    def __init__(self, lengths: np.ndarray, capacity: int):
+        i, j = np.triu_indices(len(lengths))
+        low, total = lengths[i], lengths[i] + lengths[j]
+        fit = total < capacity
+        order = np.argsort(total[fit], kind="stable")
+        self.low, total = low[fit][order], total[fit][order]
+        self.pair_at = np.searchsorted(total, np.arange(capacity + 1))
+        sums = np.unique(total)
+        triple = lengths[:, None] + sums[None]
+        c, _ = np.nonzero(triple < capacity)
+        triple = triple[triple < capacity]
+        order = np.argsort(triple, kind="stable")
+        self.third = lengths[c][order]
+        self.triple_at = np.searchsorted(triple[order], np.arange(capacity + 1))
+
+    def pairs(self, total: int) -> np.ndarray:
+        """The lesser length of each pair with this sum."""
+        return self.low[self.pair_at[total] : self.pair_at[total + 1]]
+
+    def thirds(self, total: int) -> np.ndarray:
+        """Each length that a pair completes to this sum."""
+        return self.third[self.triple_at[total] : self.triple_at[total + 1]]
+
+
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence in order, number of such sequences) over all pieces; at most a few patterns a length."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
+    index = SumIndex(np.flatnonzero(left), capacity)
     out: list[tuple[tuple[int, ...], int]] = []
 
-    def consume(pattern: tuple[int, ...]) -> int:
+    def consume(pattern: tuple[int, ...]) -> None:
         """As many of the pattern as the counts allow."""
         need: dict[int, int] = {}
         for x in pattern:
@@ -50,32 +82,33 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
             for x, k in need.items():
                 left[x] -= n * k
             out.append((pattern, n))
-        return n
+
+    def pairs(total: int, most: int) -> list[tuple[int, int]]:
+        """Pairs of this sum that are still there, no length above most; the most even ones first."""
+        low = index.pairs(total)
+        low = low[(left[low] > 0) & (left[total - low] > 0) & (total - low <= most)]
+        return [(total - x, x) for x in low[::-1].tolist()]
 
     for length in range(capacity, 0, -1):
+        gap = capacity - length
         if not left[length]:
             continue
-        gap = capacity - length
         if gap == 0:
             consume((length,))
             continue
         consume((length, gap))  # single
-        while left[length]:  # pair: both lengths of a sum are there
-            half = np.arange(1, gap // 2 + 1)
-            both = half[(left[half] > 0) & (left[gap - half] > 0) & (gap - half <= length)]
-            if not any(consume((length, gap - int(a), int(a))) for a in both[::-1]):
+        for a, b in pairs(gap, length):
+            if not left[length]:
                 break
-        if left[length] and gap >= 3:  # triple: the pair sums are indexed once, then looked up by the third length
-            have = np.flatnonzero(left[: gap + 1])
-            have = have[(have > 0) & (have <= length)]
-            for c in have[::-1]:
-                if not left[length]:
+            consume((length, a, b))
+        thirds = index.thirds(gap) if left[length] else np.zeros(0, np.int64)
+        for c in thirds[(left[thirds] > 0) & (thirds <= length)][::-1].tolist():
+            for a, b in pairs(gap - c, c):  # c is the greatest of the three
+                if not left[length] or not left[c]:
                     break
-                rest = gap - int(c)
-                a = have[have <= rest // 2]
-                for x in a[left[rest - a] > 0][::-1] if rest > 1 else []:
-                    if left[length] and left[c]:
-                        consume((length, *sorted((rest - int(x), int(x), int(c)), reverse=True)))
+                consume((length, c, a, b))
+            if not left[length]:
+                break
     return out + best_fit({k: int(left[k]) for k in range(1, capacity + 1) if left[k]}, capacity)
 
 
