@@ -37,7 +37,7 @@ HEAD = struct.Struct("<8sIIQQQ")
 BLOCK_IDS = 4096
 #: Texts of a batch, in bytes; ids of one shard file at most (more go to a further file).
 BATCH_BYTES = 4_000_000
-SHARD_IDS = 64_000_000
+SHARD_IDS = 16_000_000
 
 
 def width(vocabulary: int) -> int:
