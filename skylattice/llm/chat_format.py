@@ -1,26 +1,30 @@
 """Chat formatting: roles of transcript lines by a hidden Markov model.
 
-A transcript is lines in order; some begin with a speaker marker, many do not.
-States are (role, begins a turn or goes on).  What is seen of a line is its
-marker, whether a blank line comes before, its length class, its last sign and
-whether it is the transcript's first line.  Transition and emission counts come
-from labelled transcripts, Viterbi recovers the best states, and each turn is
-rendered in one canonical form with the markers taken off.
-
-A transcript may be of any length: it is dealt out in chunks of lines.  A chunk
-gives the best score from each state before it to each state at its end (a
-max-plus matrix); the matrices of a transcript are chained, which fixes the
-states at the chunks' borders, and each chunk then decodes between them.  That
-is exact Viterbi, and no task ever holds a whole transcript of many chunks.
-
-Nulls and empties: a null text has no line.  A transcript without lines gives no
-turn.  A null conversation id is a conversation of its own.  Null roles count as
-nothing in training.  Repeated rows are lines that repeat.  Without labelled
-rows, smoothing leaves markers' priors alone.  An empty table gives an empty result.
+A transcript is a text; some turns begin with a speaker marker, many do not.
+States are (role, begins a turn or goes on).  What is seen of a line comes from
+the text alone: its marker, whether a blank line comes before, its length class,
+its last sign and its first.  Transition and emission counts come from labelled
+transcripts, Viterbi recovers the best states, and each turn is rendered in one
+canonical form with the markers taken off.
+
+A transcript may be of any length: it comes in pages of bounded size, cut from
+sorted rows as they stream by, and no page knows turns or roles.  A page gives
+the best score from each state before it to each state at its end (a max-plus
+matrix); the matrices of a transcript are chained, which fixes the states at the
+pages' borders, and each page then decodes between them.  That is exact Viterbi,
+and no task ever holds a whole transcript of many pages.
+
+Nulls and empties: a null text has no line; blank lines are no lines but are kept
+within a turn.  A transcript without lines gives no turn.  A null conversation id
+is a conversation of its own; a null turn comes first.  Null and unknown roles
+count as nothing in training.  Turns of one number are in the order of their role
+and text, repeated rows are lines that repeat.  Without labelled rows, smoothing
+leaves markers' priors alone.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,11 @@ MARKERS = {
     "user": ("user", "human", "question", "q", "me", "client"),
     "assistant": ("assistant", "ai", "bot", "answer", "a", "model"),
 }
-#: Sizes of the line features: marker, blank before, length, last sign, first line.
-SIZES = (4, 2, 6, 4, 2)
+#: Sizes of the line features: marker, blank before, length, last sign, first sign.
+SIZES = (4, 2, 6, 4, 4)
+#: Text of a page, in characters (a longer line stays whole).
+PAGE_CHARS = 30_000
+BLANK = "^[\\x20\\x09-\\x0D]*$"
 SMOOTH = 0.5
 
 
@@ -57,31 +64,41 @@ def unmarked(line: Column) -> Column:
     return F.when(marker(line) > 0, F.regexp_replace(line, r"^\s*[\[#*]*\s*[A-Za-z]+\s*[\]*]*\s*:\s*", "")).otherwise(line)
 
 
+def lines_of(pages: DataFrame) -> DataFrame:
+    """conv_id, chunk, line_no, line, gap (blank lines before it): the lines with a word of each page's text; other columns go along."""
+    rest = [c for c in pages.columns if c not in ("conv_id", "chunk", "text")]
+    split = pages.select("conv_id", "chunk", *rest, F.split("text", "\n").alias("_s"))
+    at = F.filter(F.transform("_s", lambda x, i: F.when(~x.rlike(BLANK), i)), lambda i: i.isNotNull())
+    split = split.withColumn("_p", at)
+    entry = F.transform("_p", lambda p, k: F.struct(F.get("_s", p).alias("line"), (p - F.coalesce(F.get("_p", k - 1), F.lit(-1)) - 1).alias("gap")))
+    return split.select("conv_id", "chunk", *rest, F.posexplode(entry).alias("line_no", "x")).select("conv_id", "chunk", *rest, F.col("line_no").cast("long"), "x.line", "x.gap")
+
+
 def observed(lines: DataFrame) -> DataFrame:
-    """Adds f0..f4, the features of each line. lines: conv_id, turn, line_no, line, blank (is a blank line before it?), first."""
+    """Adds f0..f4, the features of each line (of lines_of)."""
     text = F.rtrim("line")
-    last = F.substring(text, -1, 1)
+    last, start = F.substring(text, -1, 1), F.substring(F.ltrim("line"), 1, 1)
     return lines.withColumns({
-        "f0": marker(F.col("line")), "f1": F.col("blank").cast("int"),
+        "f0": marker(F.col("line")), "f1": (F.col("gap") > 0).cast("int"),
         "f2": F.least(F.lit(5), F.floor(F.log2(F.length("line") + 1) / 2).cast("int")),
-        "f3": F.when(last == "?", 1).when(last == ":", 2).when(last.isin(".", "!"), 3).otherwise(0), "f4": F.col("first").cast("int"),
+        "f3": F.when(last == "?", 1).when(last == ":", 2).when(last.isin(".", "!"), 3).otherwise(0),
+        "f4": F.when(start.rlike("[0-9#*>|-]"), 3).when(start != F.lower(start), 1).when(start != F.upper(start), 2).otherwise(0),
     })
 
 
 def train(labelled: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(log transitions [state before or start, state], log emissions by feature). labelled: observed lines with role, begins, state_before.
+    """(log transitions [state before or start, state], log emissions by feature). labelled: observed lines with their state s (NULL: unknown) and the state before, which is STATES at the start and NULL where it is not known.
 
     Counts are grouped before they leave the executors: a table of states and features only.
     """
-    role = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
-    rows = labelled.where(F.col("role").isin(*ROLES)).withColumn("s", 2 * role + F.when(F.col("begins"), 0).otherwise(1))
-    counts = rows.groupBy("s", "before", *(f"f{k}" for k in range(len(SIZES)))).agg(F.count("*").alias("n")).collect()
+    counts = labelled.where(F.col("s").isNotNull()).groupBy("s", "before", *(f"f{k}" for k in range(len(SIZES)))).agg(F.count("*").alias("n")).collect()
     move = np.full((STATES + 1, STATES), SMOOTH)
     emit = [np.full((STATES, size), SMOOTH) for size in SIZES]
     for k, role_name in enumerate(ROLES):  # a marker speaks for its role, seen in training or not
         emit[0][2 * k, k + 1] += 20
     for r in counts:
-        move[r["before"] if r["before"] is not None else STATES, r["s"]] += r["n"]
+        if r["before"] is not None:
+            move[r["before"], r["s"]] += r["n"]
         for k in range(len(SIZES)):
             emit[k][r["s"], r[f"f{k}"]] += r["n"]
     for k in range(len(ROLES)):  # only the role itself goes on
@@ -151,7 +168,7 @@ STEP_LINES = 50_000
 
 
 def roles(lines: DataFrame, move: np.ndarray, emit: list[np.ndarray], folder: str) -> DataFrame:
-    """lines (observed, with chunk) plus state. Many chunks share a step; a chunk is never in two."""
+    """conv_id, chunk, line_no, line, gap, state, within (turns that began in the chunk so far) of observed lines. Many chunks share a step; a chunk is never in two."""
     lines = storage.save(lines, f"{folder}/lines")
     steps = max(8, -(-lines.count() // STEP_LINES))
     features = [f"f{k}" for k in range(len(SIZES))]
@@ -182,53 +199,106 @@ def roles(lines: DataFrame, move: np.ndarray, emit: list[np.ndarray], folder: st
         group, first, length = chunks(group)
         before, last = (group.column(c).to_numpy()[first] for c in ("before", "last"))
         s = decode_chunks(emissions(group, emit), first, length, move, before, last)
-        return pa.table({**{c: group.column(c) for c in ("conv_id", "chunk", "turn", "line_no", "line")}, "state": pa.array(s)})
+        begun = np.cumsum(s % 2 == 0)
+        within = begun - np.repeat(begun[first] - (s[first] % 2 == 0), length)
+        return pa.table({**{c: group.column(c) for c in ("conv_id", "chunk", "line_no", "line", "gap")}, "state": pa.array(s), "within": pa.array(within.astype(np.int64))})
 
     made = lines.select("step", "conv_id", "chunk", "line_no", *features).groupBy("step").applyInArrow(matrix, "conv_id long, chunk long, m binary")
     by_conversation = made.withColumn("step", F.pmod(F.xxhash64("conv_id"), F.lit(steps)))
     ends = storage.save(by_conversation.groupBy("step").applyInArrow(chain, "conv_id long, chunk long, before int, last int"), f"{folder}/borders")
-    joined = lines.join(ends, F.equal_null(lines["conv_id"], ends["conv_id"]) & (lines["chunk"] == ends["chunk"])).select("step", lines["conv_id"], lines["chunk"], "turn", "line_no", "line", *features, "before", "last")
-    return joined.groupBy("step").applyInArrow(states, "conv_id long, chunk long, turn long, line_no long, line string, state int")
+    joined = lines.join(ends, F.equal_null(lines["conv_id"], ends["conv_id"]) & (lines["chunk"] == ends["chunk"])).select("step", lines["conv_id"], lines["chunk"], "line_no", "line", "gap", *features, "before", "last")
+    return joined.groupBy("step").applyInArrow(states, "conv_id long, chunk long, line_no long, line string, gap int, state int, within long")
 
 
 def render(decoded: DataFrame) -> DataFrame:
     """conv_id, turn_no, role, n_lines, rendered: a row for each recovered turn, in canonical form."""
-    begins = (F.col("state") % 2 == 0).cast("long")
-    per_chunk = decoded.groupBy("conv_id", "chunk").agg(F.sum(begins).alias("n"))
+    per_chunk = decoded.groupBy("conv_id", "chunk").agg(F.max("within").alias("n"))
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = per_chunk.select(F.col("conv_id").alias("_c"), F.col("chunk").alias("_k"), earlier.alias("base"))
-    within = F.sum(begins).over(Window.partitionBy("conv_id", "chunk").orderBy("line_no"))
-    x = decoded.withColumn("within", within)
-    x = x.join(base, F.equal_null("conv_id", "_c") & (F.col("chunk") == F.col("_k"))).withColumn("turn_no", (F.col("base") + F.col("within") - 1).cast("long"))
+    x = decoded.join(base, F.equal_null("conv_id", "_c") & (F.col("chunk") == F.col("_k"))).withColumn("turn_no", (F.col("base") + F.col("within") - 1).cast("long"))
     x = x.withColumn("role", F.element_at(F.array(*map(F.lit, ROLES)), F.floor(F.col("state") / 2).cast("int") + 1))
-    turns = x.groupBy("conv_id", "turn_no").agg(F.first("role").alias("role"), F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.struct("line_no", unmarked(F.col("line")).alias("line")))).alias("l"))
+    shown = F.when(F.col("state") % 2 == 0, unmarked(F.col("line"))).otherwise(F.concat(F.repeat(F.lit("\n"), F.col("gap")), "line"))
+    turns = x.groupBy("conv_id", "turn_no").agg(F.first("role").alias("role"), F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.struct("chunk", "line_no", shown.alias("line")))).alias("l"))
     body = F.array_join(F.col("l.line"), "\n")
     return turns.select("conv_id", "turn_no", "role", "n_lines", F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), body, F.lit("\n<|end|>\n")).alias("rendered"))
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
-    """Transcript lines of a table of turns, as logs write them: conv_id, turn, line_no, line, blank, first, role, begins, before, chunk.
+    """Transcripts of a table of turns, as logs write them, in pages: conv_id, chunk (ascends within a conversation), text, and for training and tests truth (the state of each line with a word, -1: unknown) and starts (is it the first page?).
 
     By the conversation, turns begin with a full marker, with a short one, with
-    one for the user only, or with none but a blank line.
+    one for the user only, or with none; all but the third kind have a blank
+    line between turns.  Rows are sorted over all tasks, so a conversation, or
+    a turn number, of any size is dealt over many and streams by.
     """
     style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
     long_name = F.initcap("role")
     short = F.when(F.col("role") == "user", "Q").when(F.col("role") == "assistant", "A").otherwise("Context")
     name = F.when(style == 0, long_name).when(style == 1, short).when((style == 2) & (F.col("role") == "user"), F.lit("Human"))
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    rows = rows.withColumn("marked", F.concat(F.coalesce(F.concat(name, F.lit(": ")), F.lit("")), F.col("text")))
-    lines = rows.select("conv_id", "turn", "role", F.posexplode(F.split("marked", "\n")).alias("at", "line"))
-    lines = lines.withColumn("begins", F.col("at") == 0)
-    lines = lines.withColumn("blank", F.col("begins") & (style != 2))
-    # a place in the whole transcript without sorting it: turn and line together
-    lines = lines.withColumn("line_no", F.coalesce("turn", F.lit(-1)) * F.lit(2**31) + F.col("at")).drop("at")
-    lines = lines.withColumn("first", F.col("begins") & (F.coalesce("turn", F.lit(-1)) <= 0))
-    return lines.withColumn("chunk", F.floor(F.coalesce("turn", F.lit(-1)) / CHUNK_TURNS).cast("long"))
-
-
-#: Turns of a chunk, in tables of turns.
-CHUNK_TURNS = 64
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").where(F.col("text").isNotNull())
+    marked = F.concat(F.coalesce(F.concat(name, F.lit(": ")), F.lit("")), F.col("text"))
+    state = 2 * (F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1)
+    order = ["conv_id", "turn", "role", "text"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", marked.alias("marked"), F.coalesce(state, F.lit(-1)).alias("state"), (style != 2).alias("spaced"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        first = TaskContext.get().partitionId() << 36
+        page, made = 0, []
+        conv, held, truth, size, starts = None, [], [], 0, True
+
+        def end() -> None:
+            nonlocal page, held, truth, size
+            if held:
+                made.append((conv, first + page, "\n".join(held), truth, starts))
+                page, held, truth, size = page + 1, [], [], 0
+
+        def table() -> pa.RecordBatch:
+            columns = list(zip(*made)) or [[]] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.bool_()))], names=["conv_id", "chunk", "text", "truth", "starts"])
+
+        seen = False
+        for batch in batches:
+            for c, marked, state, spaced in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if not seen or c != conv:
+                    end()
+                    conv, starts, fresh, seen = c, True, True, True
+                text = marked.split("\n")
+                for k, line in enumerate([""] + text if spaced and not fresh else text):
+                    if size > PAGE_CHARS and held[-1].strip():  # blank lines stay with the line that they come before
+                        end()
+                        starts = False
+                    begins = True if not k else begins
+                    held.append(line)
+                    size += len(line) + 1
+                    if line.strip(" \t\n\x0b\f\r"):
+                        truth.append(-1 if state < 0 else state + (not begins))
+                        begins = False
+                fresh = False
+            if len(made) > 200:
+                yield table()
+                made = []
+        end()
+        yield table()
+
+    return rows.mapInArrow(cut, "conv_id long, chunk long, text string, truth array<int>, starts boolean")
+
+
+def known_lines(pages: DataFrame) -> DataFrame:
+    """Observed lines of pages with their state s (NULL: unknown) and the state before."""
+    lines = observed(lines_of(pages))
+    state = lambda k: F.when(F.get("truth", k) >= 0, F.get("truth", k))
+    at = F.col("line_no").cast("int")
+    before = F.when(at > 0, state(at - 1)).otherwise(F.when(F.col("starts"), F.lit(STATES)))
+    return lines.withColumns({"s": state(at), "before": before}).drop("truth", "starts")
+
+
+def decoded(pages: DataFrame, folder: str, fold: int = 5) -> DataFrame:
+    """The lines of all pages with their recovered states; trained on conversations whose hash modulo fold is not 0."""
+    known = known_lines(pages.where(F.pmod(F.xxhash64("conv_id", F.lit(7)), F.lit(fold)) != 0))
+    move, emit = train(known)
+    return roles(observed(lines_of(pages.select("conv_id", "chunk", "text"))), move, emit, folder)
 
 
 def chat_format(conversations: DataFrame, fold: int = 5) -> DataFrame:
@@ -237,12 +307,6 @@ def chat_format(conversations: DataFrame, fold: int = 5) -> DataFrame:
     Trained on conversations whose hash modulo fold is not 0.
     """
     folder = storage.work_dir(conversations.sparkSession, "chat")
-    lines = observed(transcripts(conversations))
-    known = lines.where(F.pmod(F.xxhash64("conv_id", F.lit(7)), F.lit(fold)) != 0)
-    index = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
-    state = 2 * index + F.when(F.col("begins"), 0).otherwise(1)
-    order = Window.partitionBy("conv_id", "chunk").orderBy("line_no")  # the first line of a later chunk counts as a start
-    move, emit = train(known.withColumn("before", F.lag(state).over(order)))
-    decoded = roles(lines.select("conv_id", "chunk", "turn", "line_no", "line", *(f"f{k}" for k in range(len(SIZES)))), move, emit, folder)
-    turns = render(decoded)
+    pages = storage.save(transcripts(conversations), f"{folder}/pages")
+    turns = render(storage.save(decoded(pages, folder, fold), f"{folder}/decoded"))
     return turns.select("conv_id", "turn_no", "role", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256"), "rendered")

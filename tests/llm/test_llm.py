@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -117,7 +118,7 @@ def test_fm_index():
 # --- operators -------------------------------------------------------------------
 
 
-def test_url_filter(spark):
+def test_url_filter(spark, monkeypatch):
     urls = [None, "no scheme", "http://A.Example.NET/en/1", "https://x.example.com/de/?q=1", "ftp://y.org/fr", "ftp://y.org/fr/a#b", "http://net", "http://b.net/", "http://www.z.com/p/?utm_source=a&k=1", "http://z.com/p?k=1#top", "http://z.com/p", "", "http://z.com/p?k=1"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     listed = spark.createDataFrame([("z.com/p?k=1",), (None,), ("z.com/p?k=1",)], "url_key string")
@@ -131,6 +132,15 @@ def test_url_filter(spark):
     empty = url_filter.judge(pages, listed.limit(0), rules)
     assert empty.count() == len(urls) and not empty.where("listed").count()
     assert url_filter.judge(pages.limit(0), listed, rules).count() == 0
+    monkeypatch.setattr(url_filter, "EXPRESSION_RULES", 3)  # rules as a table, list by a shuffle
+    monkeypatch.setattr(url_filter, "BROADCAST_URLS", 0)
+    again = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"], r["listed"]) for r in url_filter.judge(pages, listed, rules).collect()}
+    assert again == got
+    odd = pages.unionAll(pages.where("page_id in (0, 2, 8)")).unionAll(spark.createDataFrame([(99, "http://a.net/" + "x" * 200_000)], pages.schema))
+    odd = odd.withColumns({c: F.lit("clash") for c in ("block", "listed", "host", "rule", "verdict", "url_key")})
+    many = url_filter.judge(odd, listed, rules).collect()
+    assert len(many) == len(urls) + 4 and all(again[r["page_id"]] == tuple(r)[1:] for r in many if r["page_id"] != 99)
+    assert [(r["rule"], len(r["path"])) for r in many if r["page_id"] == 99] == [("net/", 200_001)]
 
 
 def test_bloom_has_no_false_negatives(spark):
@@ -140,6 +150,14 @@ def test_bloom_has_no_false_negatives(spark):
     assert got.where("listed").count() == 5000 and got.where("listed and page_id >= 5000").count() == 0
 
 
+def test_sum_index():
+    lengths = np.array([1, 3, 4, 7, 10, 19])
+    index = packing.SumIndex(lengths, 24)
+    for total in range(24):
+        assert {(total - x, x) for x in index.pairs(total).tolist()} == {(b, a) for a, b in itertools.combinations_with_replacement(lengths.tolist(), 2) if a + b == total}
+        assert set(index.thirds(total).tolist()) == {x for t in itertools.combinations_with_replacement(lengths.tolist(), 3) if sum(t) == total for x in t}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_packing_plan(seed):
     rng = np.random.default_rng(seed)
@@ -559,9 +577,17 @@ def test_viterbi_in_chunks():
         other = whole.copy()
         other[rng.integers(0, 40)] = rng.integers(0, chat_format.STATES)
         assert total(other) <= best + 1e-9
+    for _ in range(20):  # against all paths
+        at_ = int(rng.integers(0, 35))
+        (ends,) = chat_format.borders(list(chat_format.chunk_matrices(scores, at(at_), at(5), move)))
+        path = chat_format.decode_chunks(scores, at(at_), at(5), move, at(ends[0]), at(ends[1]))[at_ : at_ + 5]
+        weight = lambda x: move[chat_format.STATES, x[0]] + sum(scores[at_ + k, b] for k, b in enumerate(x)) + sum(move[a, b] for a, b in zip(x, x[1:]))
+        assert weight(path) >= max(map(weight, itertools.product(range(chat_format.STATES), repeat=5))) - 1e-9
 
 
-def test_chat_format(spark):
+@pytest.mark.parametrize("page", [30_000, 60])
+def test_chat_format(spark, monkeypatch, page):
+    monkeypatch.setattr(chat_format, "PAGE_CHARS", page)
     rng = random.Random(23)
     rows = []
     for c in range(120):
@@ -579,6 +605,34 @@ def test_chat_format(spark):
     assert chat_format.chat_format(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chat_lines(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "PAGE_CHARS", 40)
+    rows = [(5, 2, "assistant", "b\n\n\nc\n", 1, "x", "y")] * 3 + [(5, 1, "user", " \n\nq " + "z" * 50, 1, "x", "y"), (5, 2, "assistant", "another", 1, "x", "y"), (5, 3, "nobody", "n", 1, "x", "y"), (5, 0, "system", None, 1, "x", "y")]
+    clash = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, chunk long, line string, state string")
+    pages = chat_format.transcripts(clash)
+    lines = chat_format.known_lines(pages).orderBy("chunk", "line_no").collect()
+    words = [chat_format.ROLES[r["s"] // 2] if r["s"] is not None else None for r in lines]
+    assert len({r["chunk"] for r in lines}) > 1 and words == ["user"] * (words.count("user")) + ["assistant"] * 7 + [None]
+    assert [r["gap"] for r in lines if r["line"] == "c"] == [2, 2, 2]
+    out = chat_format.chat_format(clash)
+    assert out.columns == ["conv_id", "turn_no", "role", "n_lines", "rendered_sha256", "rendered"] and sum(r["n_lines"] for r in out.collect()) == len(lines)
+
+
+def test_chat_roles_held_out(spark, tmp_path):
+    """Line accuracy on conversations that training did not see, by style: what the text alone tells."""
+    conversations = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    pages = chat_format.transcripts(conversations).cache()
+    said = chat_format.decoded(pages, f"file://{tmp_path}").select("conv_id", "chunk", "line_no", "state")
+    unseen = F.pmod(F.xxhash64("conv_id", F.lit(7)), F.lit(5)) == 0
+    both = chat_format.known_lines(pages).where(unseen).select("conv_id", "chunk", "line_no", "s").join(said, ["conv_id", "chunk", "line_no"])
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(4)).alias("style")
+    role = (F.floor(F.col("s") / 2) == F.floor(F.col("state") / 2)).cast("double")
+    got = {r["style"]: (r["role"], r["n"]) for r in both.groupBy(style).agg(F.avg(role).alias("role"), F.count("*").alias("n")).collect()}
+    print("held-out role accuracy by style:", got)
+    assert sum(a * n for a, n in got.values()) > 0.85 * sum(n for _, n in got.values())
+    assert got[0][0] > 0.95
+
+
 def brute_substring(texts, window):
     seen = set()
     for t in texts:
