@@ -3,15 +3,16 @@
 A shard is some megabytes of documents.  Its suffix array holds the suffixes
 whose first words all occur in the benchmark (others can match nothing), sorted
 by packed word numbers and refined only where suffixes still tie, never deeper
-than the longest benchmark item.  The distinct windows of the benchmark are
-binary-searched in it, all at once: the interval of each gives every occurrence
-to mark.  ``longest_matches``, apart, searches every benchmark suffix: the
-insertion place gives its longest verbatim match and where that is.  Shards are
-independent, so the corpus is read once and nothing is shuffled.
+than the longest benchmark item.  Every suffix of every benchmark item is
+binary-searched in it, all at once: the neighbours of the insertion place give
+its longest verbatim match and where that is.  A suffix whose longest match has
+a whole window (10 words; a shorter item's whole text) marks the window at every
+place that the interval of its first words lists.  Shards are independent, so
+the corpus is read once and nothing is shuffled.
 
-The benchmark is a stated query set.  It goes to the executors in slices of
-bounded size; a benchmark of many slices is matched slice by slice in each task.
-One of more than MOST_BENCHMARK_BYTES of text is refused.
+The benchmark is a stated query set of any size.  It is written to the shared
+folder in slices of bounded size, and a task reads slice after slice for each
+shard, so neither the driver nor a task ever holds more than a few slices.
 
 Nulls and empties: null or empty texts have no words, no hits and no windows.  A
 null item_id still marks words but is not listed.  Repeated rows are judged one
@@ -21,12 +22,12 @@ by one.  An empty benchmark hits nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import storage, text
@@ -34,46 +35,36 @@ from . import storage, text
 #: Text of a shard and of a slice of the benchmark, in bytes.
 SHARD_BYTES = 6_000_000
 SLICE_BYTES = 2_000_000
-#: More benchmark text than this is refused: it would no longer be a query set that each executor can hold.
-MOST_BENCHMARK_BYTES = 512_000_000
+#: Slices that a worker keeps from shard to shard.
+KEPT_SLICES = 8
+_kept: dict[str, "Slice"] = {}
 
 
 @dataclass
 class Slice:
-    """Benchmark items as word numbers (from 1; 0 ends an item), with their windows."""
+    """Benchmark items as word numbers (from 1; 0 ends an item), and all their suffixes."""
 
     vocabulary: dict[str, int]
     tokens: np.ndarray
-    item: np.ndarray  # index of the item of each token
     item_ids: list
-    window: int
-    starts: np.ndarray  # one start of each distinct window
-    lengths: np.ndarray
-    items_of: list[np.ndarray]  # for each distinct window, the items that have it
+    starts: np.ndarray  # where each suffix starts
+    lengths: np.ndarray  # words of each suffix
+    item: np.ndarray  # index of the item of each suffix
+    at: np.ndarray  # the suffix's place in its item
+    window: np.ndarray  # words that a match needs to count
+    marking: np.ndarray  # indices of the suffixes that have so many
 
     @classmethod
-    def of(cls, rows: list[Row], window: int) -> "Slice":
-        w = text.split_words(pa.array([r["text"] for r in rows], pa.large_string()), text.NOT_ALNUM, lower=True)
+    def of(cls, item_ids: list, texts: pa.Array, window: int) -> "Slice":
+        w = text.split_words(texts, text.NOT_ALNUM, lower=True)
         idx, distinct = w.encoded()
         n = np.diff(w.first)
-        tokens = np.insert(idx + 1, w.first[1:], 0) if len(rows) else np.zeros(0, np.int64)
-        item = np.repeat(np.arange(len(rows)), n + 1)
-        first = w.first[:-1] + np.arange(len(rows))
-        seen: dict[tuple, int] = {}
-        starts, lengths, items = [], [], []
-        as_list = tokens.tolist()
-        for k in range(len(rows)):
-            size = min(window, int(n[k]))
-            for s in range(int(first[k]), int(first[k]) + int(n[k]) - size + 1) if size else []:
-                key = tuple(as_list[s : s + size])
-                at = seen.setdefault(key, len(starts))
-                if at == len(starts):
-                    starts.append(s)
-                    lengths.append(size)
-                    items.append([])
-                if not items[at] or items[at][-1] != k:
-                    items[at].append(k)
-        return cls({u: i for i, u in enumerate(distinct.to_pylist(), 1)}, tokens, item, [r["item_id"] for r in rows], window, np.array(starts, np.int64), np.array(lengths, np.int64), [np.array(x) for x in items])
+        tokens = np.insert(idx + 1, w.first[1:], 0)
+        item = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(idx)) - w.first[:-1][item]
+        least = np.minimum(window, n)[item]
+        lengths = n[item] - at
+        return cls({u: i for i, u in enumerate(distinct.to_pylist(), 1)}, tokens, item_ids, np.arange(len(idx)) + item, lengths, item, at, least, np.flatnonzero(lengths >= least))
 
 
 class SuffixArray:
@@ -170,7 +161,26 @@ def _tokens(w: text.Words, idx: np.ndarray, names: list[str], part: Slice) -> np
     return np.insert(found, w.first[1:], 0)
 
 
-def _hits(w: text.Words, parts: list[Slice]) -> tuple[np.ndarray, list[set]]:
+def matched(array: SuffixArray, part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """(length of the longest verbatim match, a place of it) of each benchmark suffix."""
+    at = array.bound(part.tokens, part.starts, part.lengths, upper=False)
+    best, place = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    for side in (at - 1, at):  # the neighbours of the insertion place
+        near = array.sa[np.clip(side, 0, len(array.sa) - 1)]
+        n = array.common(near, part.tokens, part.starts, part.lengths)
+        place, best = np.where(n > best, near, place), np.maximum(n, best)
+    return best, place
+
+
+def _array(w: text.Words, idx: np.ndarray, names: list[str], part: Slice) -> SuffixArray | None:
+    """The shard's suffix array for a slice; None if it has no suffix that could match."""
+    if not len(part.starts):
+        return None
+    array = SuffixArray(_tokens(w, idx, names, part), int(part.window.min()), int(part.lengths.max()), len(part.vocabulary))
+    return array if len(array.sa) else None
+
+
+def _hits(w: text.Words, parts: Iterable[Slice]) -> tuple[np.ndarray, list[set]]:
     """(words of each document that a window covers, items of each document)."""
     n_docs = len(w.first) - 1
     idx, distinct = w.encoded()
@@ -179,46 +189,67 @@ def _hits(w: text.Words, parts: list[Slice]) -> tuple[np.ndarray, list[set]]:
     cover = np.zeros(int(first[-1]) + 1, np.int32)
     items: list[set] = [set() for _ in range(n_docs)]
     for part in parts:
-        if not len(part.starts):
+        array = _array(w, idx, names, part)
+        if array is None:
             continue
-        tokens = _tokens(w, idx, names, part)
-        array = SuffixArray(tokens, int(part.lengths.min()), int(part.lengths.max()), len(part.vocabulary))
-        if not len(array.sa):
+        longest, _ = matched(array, part)
+        hit = part.marking[longest[part.marking] >= part.window[part.marking]]
+        if not len(hit):
             continue
-        lo = array.bound(part.tokens, part.starts, part.lengths, upper=False)
-        hi = array.bound(part.tokens, part.starts, part.lengths, upper=True)
-        n = np.maximum(hi - lo, 0)
+        lo = array.bound(part.tokens, part.starts[hit], part.window[hit], upper=False)
+        hi = array.bound(part.tokens, part.starts[hit], part.window[hit], upper=True)
+        # equal windows have one interval, which is listed once
+        interval, of = np.unique(np.stack((lo, hi, part.window[hit]), 1), axis=0, return_inverse=True)
+        lo, hi, size = interval.T
+        n = hi - lo
         places = array.sa[text.ragged(lo, n)]
         window = np.repeat(np.arange(len(n)), n)
         np.add.at(cover, places, 1)
-        np.add.at(cover, places + part.lengths[window], -1)
+        np.add.at(cover, places + size[window], -1)
+        owner, item = np.divmod(np.unique(of.ravel() * len(part.item_ids) + part.item[hit]), len(part.item_ids))
+        edges = np.searchsorted(owner, np.arange(len(n) + 1))
         doc = np.searchsorted(first, places, "right") - 1
         for pair in np.unique(doc * len(n) + window).tolist():
-            items[pair // len(n)].update(part.item_ids[k] for k in part.items_of[pair % len(n)].tolist())
+            k = pair % len(n)
+            items[pair // len(n)].update(part.item_ids[i] for i in item[edges[k] : edges[k + 1]].tolist())
     hit = np.concatenate(([0], np.cumsum(np.cumsum(cover[:-1]) > 0)))
     return hit[first[1:]] - hit[first[:-1]], items
 
 
-def slices(benchmark: DataFrame, window: int) -> list:
-    """Broadcasts of the benchmark, each of bounded size."""
-    spark = benchmark.sparkSession
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    size = storage.column_bytes(rows, "text")
-    if size > MOST_BENCHMARK_BYTES:
-        raise ValueError(f"the benchmark has {size} bytes of text; at most {MOST_BENCHMARK_BYTES} are matched in one run")
-    n = max(1, -(-size // SLICE_BYTES))
-    parts = (rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect() for k in range(n))
-    return [spark.sparkContext.broadcast(Slice.of(p, window)) for p in parts]
+class Slices:
+    """The benchmark in the shared folder, a folder for each slice of bounded size."""
+
+    def __init__(self, benchmark: DataFrame, window: int):
+        self.folder = storage.work_dir(benchmark.sparkSession, "benchmark")
+        self.window = window
+        rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+        self.n = max(1, -(-storage.column_bytes(rows, "text") // SLICE_BYTES))
+        storage.save(rows.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n))).repartition("slice"), self.folder, "slice")
+
+    def __iter__(self) -> Iterator[Slice]:
+        from pyarrow import fs, parquet
+
+        for k in range(self.n):
+            name = f"{self.folder}/slice={k}"
+            if name not in _kept:
+                where, root = fs.FileSystem.from_uri(name) if "://" in name or name.startswith("file:") else (fs.LocalFileSystem(), name)
+                found = where.get_file_info(fs.FileSelector(root, allow_not_found=True))
+                tables = [parquet.read_table(f.path, filesystem=where, partitioning=None) for f in sorted(found, key=lambda f: f.path) if f.path.endswith(".parquet")]
+                while len(_kept) >= KEPT_SLICES:
+                    _kept.pop(next(iter(_kept)))
+                rows = pa.concat_tables(tables) if tables else pa.table({"item_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())})
+                _kept[name] = Slice.of(rows.column("item_id").to_pylist(), rows.column("text"), self.window)
+            yield _kept[name]
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each document."""
-    held = slices(benchmark, window)
+    held = Slices(benchmark, window)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", SHARD_BYTES):
             w = _shard(batch)
-            hit, items = _hits(w, [b.value for b in held])
+            hit, items = _hits(w, held)
             names = [sorted(str(i) for i in s if i is not None) for s in items]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n_words": pa.array(np.diff(w.first)), "n_hit": pa.array(hit.astype(np.int64)), "n_items": pa.array([len(x) for x in names], pa.int64()),
@@ -231,11 +262,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10)
 
 def remove(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents, with all their columns, in which no window occurs."""
-    held = slices(benchmark, window)
+    held = Slices(benchmark, window)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", SHARD_BYTES):
-            hit, _ = _hits(_shard(batch), [b.value for b in held])
+            hit, _ = _hits(_shard(batch), held)
             yield batch.filter(pa.array(hit == 0))
 
     return documents.mapInArrow(keep, documents.schema)
@@ -243,7 +274,7 @@ def remove(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> Data
 
 def longest_matches(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """item_id, item_start, length, doc_id, doc_start: for each benchmark suffix the longest verbatim match in any shard (of at least one window) and one place of it."""
-    held = slices(benchmark, window)
+    held = Slices(benchmark, window)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", SHARD_BYTES):
@@ -251,27 +282,14 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, window: int = 10
             idx, distinct = w.encoded()
             names, ids = distinct.to_pylist(), text.ids(batch.column(0))
             first = w.first + np.arange(len(w.first))
-            for b in held:
-                part = b.value
-                if not len(part.starts):
-                    continue
-                ends = np.flatnonzero(part.tokens == 0)
-                starts = np.flatnonzero(part.tokens)
-                lengths = ends[np.searchsorted(ends, starts)] - starts
-                array = SuffixArray(_tokens(w, idx, names, part), int(part.lengths.min()), int(lengths.max()), len(part.vocabulary))
-                if not len(array.sa):
+            for part in held:
+                array = _array(w, idx, names, part)
+                if array is None:
                     continue
-                at = array.bound(part.tokens, starts, lengths, upper=False)
-                best, place = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-                for side in (at - 1, at):  # the neighbours of the insertion place
-                    near = array.sa[np.clip(side, 0, len(array.sa) - 1)]
-                    n = array.common(near, part.tokens, starts, lengths)
-                    place, best = np.where(n > best, near, place), np.maximum(n, best)
-                item_first = np.concatenate(([0], ends[:-1] + 1))[part.item[starts]]
-                whole = ends[part.item[starts]] - item_first
-                ok = np.flatnonzero(best >= np.minimum(window, whole))
+                best, place = matched(array, part)
+                ok = np.flatnonzero(best >= part.window)
                 doc = np.searchsorted(first, place[ok], "right") - 1
-                yield pa.RecordBatch.from_pydict({"item_id": pa.array([part.item_ids[k] for k in part.item[starts[ok]]], pa.int64()), "item_start": pa.array(starts[ok] - item_first[ok]), "length": pa.array(best[ok]), "doc_id": text.id_array(ids[doc]), "doc_start": pa.array(place[ok] - first[doc])})
+                yield pa.RecordBatch.from_pydict({"item_id": pa.array([part.item_ids[k] for k in part.item[ok]], pa.int64()), "item_start": pa.array(part.at[ok]), "length": pa.array(best[ok]), "doc_id": text.id_array(ids[doc]), "doc_start": pa.array(place[ok] - first[doc])})
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = rows.mapInArrow(match, "item_id long, item_start long, length long, doc_id long, doc_start long")

@@ -12,7 +12,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from skylattice.llm import chat_format, components, decontamination, exchange, fm_index, language_model, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, text, token_output, tokens, url_filter
@@ -227,7 +226,7 @@ def test_contamination_kernel(seed):
     say = lambda n: " ".join(rng.choice(letters) for _ in range(n))
     texts = [rng.choice([None, "", say(rng.randint(1, 80))]) for _ in range(5)]
     items = [(k, rng.choice([None, say(rng.randint(1, 6)), say(rng.randint(4, 30))])) for k in range(rng.randint(0, 5))]
-    part = decontamination.Slice.of([Row(item_id=i, text=t) for i, t in items], 4)
+    part = decontamination.Slice.of([i for i, _ in items], pa.array([t for _, t in items], pa.string()), 4)
     w = text.split_words(pa.array(texts, pa.large_string()), text.NOT_ALNUM, lower=True)
     hit, found = decontamination._hits(w, [part])
     assert list(zip(np.diff(w.first).tolist(), hit.tolist(), found)) == list(brute_contamination(texts, items, 4))
@@ -243,10 +242,13 @@ def test_contamination(spark, monkeypatch):
     for i, (n, hit, found) in zip(ids_for(texts), brute_contamination(texts, items, 10)):
         names = sorted(str(x) for x in found if x is not None)
         expected[i] = (n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0)
-    for size in (2_000_000, 100):  # one slice, and several
+    for size in (2_000_000, 100):  # one slice, and more than a worker keeps
         monkeypatch.setattr(decontamination, "SLICE_BYTES", size)
-        got = {r["doc_id"]: tuple(r)[1:] for r in decontamination.contamination(docs, bench).collect()}
+        monkeypatch.setattr(decontamination, "KEPT_SLICES", 2)
+        got = {r["doc_id"]: tuple(r)[1:] for r in decontamination.contamination(docs, bench.unionAll(bench)).collect()}
         assert got == expected
+    twice = decontamination.contamination(docs.unionAll(docs).withColumn("doc_id", F.lit(1).cast("long")), bench).groupBy("n_words", "n_hit", "n_items").count().collect()
+    assert collections.Counter({tuple(r)[:3]: r["count"] for r in twice}) == collections.Counter(e[:3] for e in list(expected.values()) * 2)
     kept = decontamination.remove(docs, bench)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, e in expected.items() if not e[4]}
     m = decontamination.longest_matches(docs, bench).where("item_id = 0 and item_start = 0").head()
