@@ -8,6 +8,11 @@ the same order.  So a hash crosses the network once a block, in about six bytes,
 however often the block has it: a key that a third of all data has costs a
 bucket one entry a block.  Buckets are ranges of the hash space, their number
 follows the input's bytes, and a bucket's size does not depend on any one key.
+
+A block sends to FAN buckets at most, so rows grow with the input and not with
+its square.  Where more buckets are needed, the messages of many blocks to one
+range are first merged (bounded groups of them), the merged ones are sent on to
+the parts of the range, and answers come back the same way.
 """
 
 from __future__ import annotations
@@ -27,6 +32,9 @@ SCHEMA = "kind int, block string, bucket int, data binary"
 #: Text bytes of a block, and text bytes for each bucket.
 BLOCK_BYTES = 6_000_000
 BUCKET_BYTES = 8_000_000
+#: Buckets that one message is split over, and bytes of messages that are merged in one group.
+FAN = 2_048
+MERGE_BYTES = 64_000_000
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -75,35 +83,74 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def sends(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed hashes and counts) of sorted distinct keys."""
+def sends(keys: np.ndarray, counts: list[np.ndarray], buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed hashes and counts, of one or more kinds) of sorted distinct keys, for the first level of totals."""
+    buckets = min(buckets, FAN)
     edges = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-    for b in range(buckets):
+    for b in np.flatnonzero(np.diff(edges)).tolist():
         lo, hi = edges[b], edges[b + 1]
-        if hi > lo:
-            yield b, pack_parts(squeeze_hashes(keys[lo:hi]), squeeze(counts[lo:hi].astype(np.uint32)))
+        yield b, pack_parts(squeeze_hashes(keys[lo:hi]), *(squeeze(c[lo:hi].astype(np.uint64)) for c in counts))
+
+
+def _added(sent: list[list[bytes]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """(distinct keys, their totals of each kind, the place of each sent key among them, where each message starts)."""
+    keys = [expand_hashes(p[0]) for p in sent]
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    total = [np.bincount(inverse, np.concatenate([expand(p[k], np.uint64) for p in sent]), len(distinct)).astype(np.int64) for k in range(1, len(sent[0]))]
+    return distinct, total, inverse, np.cumsum([0, *map(len, keys)])
+
 
+MESSAGE = "block string, bucket int, data binary"
 
-def totals(table: DataFrame, answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, bytes]]) -> DataFrame:
-    """block, bucket, data: for each block the answers about what it sent, in the same order.
 
-    answer(keys, counts) gets a bucket's sorted keys with their totals and
-    returns one number for each key and a note; the note is a row with an empty block.
+def _messages(rows: list[tuple]) -> pa.Table:
+    block, bucket, data = zip(*rows) if rows else ((), (), ())
+    return pa.table({"block": pa.array(block, pa.string()), "bucket": pa.array(bucket, pa.int32()), "data": pa.array(data, pa.binary())})
+
+
+def totals(table: DataFrame, answer: Callable[..., tuple[list[np.ndarray], bytes]], dtypes: list[type], buckets: int, folder: str) -> DataFrame:
+    """block, bucket, data: for each block (of table: block, bucket, data) the answers about what it sent, in the same order.
+
+    answer(keys, *totals) gets a bucket's sorted keys with their totals of each
+    kind and returns an array of each of dtypes, with a number for each key, and
+    a note; the note is a row with an empty block.
     """
 
     def add_up(group: pa.Table) -> pa.Table:
-        sent = [parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")]
-        keys = [expand_hashes(p[0]) for p in sent]
-        counts = [expand(p[1], np.uint32) for p in sent]
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-        said, note = answer(distinct, total)
-        at = np.cumsum([0, *map(len, keys)])
-        data = [squeeze(said[inverse[a:b]]) for a, b in zip(at, at[1:])]
-        n = len(data)
-        return pa.table({"block": pa.array([*group.column("block").to_pylist(), ""], pa.string()), "bucket": pa.array([group.column("bucket")[0].as_py()] * (n + 1), pa.int32()), "data": pa.array([*data, note], pa.binary())})
-
-    return table.select("block", "bucket", "data").groupBy("bucket").applyInArrow(add_up, "block string, bucket int, data binary")
+        distinct, total, inverse, at = _added([parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")])
+        said, note = answer(distinct, *total)
+        bucket = group.column("bucket")[0].as_py()
+        data = [(name, bucket, pack_parts(*(squeeze(x[inverse[a:b]]) for x in said))) for name, a, b in zip(group.column("block").to_pylist(), at, at[1:])]
+        return _messages([*data, ("", bucket, note)])
+
+    table = table.select("block", "bucket", "data")
+    if buckets <= FAN:
+        return table.groupBy("bucket").applyInArrow(add_up, MESSAGE)
+    parts = -(-buckets // FAN)
+    size = table.agg(F.sum(F.octet_length("data")).alias("b")).head()["b"] or 0
+    groups = max(1, -(-size // (FAN * MERGE_BYTES)))
+    table = table.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)))
+
+    def merge(group: pa.Table) -> pa.Table:
+        bucket, part = group.column("bucket")[0].as_py(), group.column("part")[0].as_py()
+        distinct, total, _, _ = _added([parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")])
+        edges = np.searchsorted(bucket_of(distinct, FAN * parts), bucket * parts + np.arange(parts + 1))
+        return _messages([(f"{bucket}-{part}", bucket * parts + k, pack_parts(squeeze_hashes(distinct[a:b]), *(squeeze(t[a:b].astype(np.uint64)) for t in total))) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a])
+
+    def pass_on(group: pa.Table, replies: pa.Table) -> pa.Table:
+        if not group.num_rows:
+            return _messages([])
+        _, _, inverse, at = _added([parts_of(d.as_buffer().to_pybytes()) for d in group.column("data")])
+        said = [reply_array(replies.select(["bucket", "data"]).to_pylist(), t, k) for k, t in enumerate(dtypes)]
+        bucket = group.column("bucket")[0].as_py()
+        return _messages([(name, bucket, pack_parts(*(squeeze(x[inverse[a:b]]) for x in said))) for name, a, b in zip(group.column("block").to_pylist(), at, at[1:])])
+
+    merged = storage.save(table.groupBy("bucket", "part").applyInArrow(merge, MESSAGE), f"{folder}/merged")
+    replies = storage.save(merged.groupBy("bucket").applyInArrow(add_up, MESSAGE), f"{folder}/merged-totals")
+    name = F.split("block", "-")
+    back = replies.where("block <> ''").select(name[0].cast("int").alias("range"), name[1].cast("long").alias("part"), "bucket", "data")
+    down = table.groupBy("bucket", "part").cogroup(back.groupBy("range", "part")).applyInArrow(pass_on, MESSAGE)
+    return down.unionByName(replies.where("block = ''"))
 
 
 def answered(blocks: DataFrame, replies: DataFrame) -> DataFrame:
@@ -112,9 +159,9 @@ def answered(blocks: DataFrame, replies: DataFrame) -> DataFrame:
     return blocks.select("block", "data").join(each, "block", "left").select("data", "replies")
 
 
-def reply_array(replies: list | None, dtype: type) -> np.ndarray:
-    """A block's replies as one array in the order of its sorted keys."""
-    parts = [expand(r["data"], dtype) for r in sorted(replies or [], key=lambda r: r["bucket"])]
+def reply_array(replies: list | None, dtype: type, kind: int = 0) -> np.ndarray:
+    """A block's replies (their array of one kind) as one array in the order of its sorted keys."""
+    parts = [expand(parts_of(r["data"])[kind], dtype) for r in sorted(replies or [], key=lambda r: r["bucket"])]
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 

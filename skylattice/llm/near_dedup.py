@@ -551,7 +551,7 @@ def postings(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
                 keys, counts = np.unique(np.concatenate(flat), return_counts=True)
                 ids, label, n = (np.asarray(x, np.int64).tobytes() for x in (part.column(0).to_numpy(), part.column(1).to_numpy(), [len(x) for x in flat]))
                 name = uuid.uuid4().hex
-                for kind, b, data in [(0, -1, exchange.pack_parts(ids, label, n, np.concatenate(flat).tobytes())), *((1, b, d) for b, d in exchange.sends(keys, counts, buckets))]:
+                for kind, b, data in [(0, -1, exchange.pack_parts(ids, label, n, np.concatenate(flat).tobytes())), *((1, b, d) for b, d in exchange.sends(keys, [counts], buckets))]:
                     yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([data], pa.binary())})
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -568,7 +568,7 @@ def postings(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"token": pa.array(flat[ok].view(np.int64)), "a": pa.array(ids[who[ok]]), "label": pa.array(label[who[ok]]), "size": pa.array(n[who[ok]]), "place": pa.array(place[ok])})
 
     table = storage.save(sets.select("a", "label", "s").mapInArrow(make, exchange.SCHEMA), f"{folder}/sets", "kind")
-    replies = storage.save(exchange.totals(table.where("kind = 1"), lambda keys, total: (total.astype(np.uint32), b"")), f"{folder}/set-totals")
+    replies = storage.save(exchange.totals(table.where("kind = 1"), lambda keys, total: ([total.astype(np.uint32)], b""), [np.uint32], buckets, folder), f"{folder}/set-totals")
     storage.drop(sets.sparkSession, f"{folder}/sets/kind=1")
     blocks = sets.sparkSession.read.schema(exchange.SCHEMA).parquet(f"{folder}/sets").where("kind = 0")
     return exchange.answered(blocks, replies).mapInArrow(prefixes, "token long, a long, label long, size long, place long")

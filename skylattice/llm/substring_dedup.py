@@ -226,11 +226,11 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
         for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
             block, name = Block.of(batch), uuid.uuid4().hex
             anchors, counts = np.unique(block.segments(window, gram)[2], return_counts=True)
-            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(anchors, counts, buckets))]
+            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(anchors, [counts], buckets))]
             yield pa.RecordBatch.from_pydict({"kind": pa.array([x[0] for x in out], pa.int32()), "block": [name] * len(out), "bucket": pa.array([x[1] for x in out], pa.int32()), "data": pa.array([x[2] for x in out], pa.binary())})
 
-    def answer(keys: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, bytes]:
-        return np.where(total > HOT, COMMON, np.where(total > 1, REPEATED, UNIQUE)).astype(np.uint8), b""
+    def answer(keys: np.ndarray, total: np.ndarray) -> tuple[list[np.ndarray], bytes]:
+        return [np.where(total > HOT, COMMON, np.where(total > 1, REPEATED, UNIQUE)).astype(np.uint8)], b""
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,7 +238,7 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
                 yield from _classes(data.as_buffer().to_pybytes(), said, window, gram)
 
     table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")
-    replies = storage.save(exchange.totals(table.where("kind = 1"), answer), f"{folder}/totals")
+    replies = storage.save(exchange.totals(table.where("kind = 1"), answer, [np.uint8], buckets, folder), f"{folder}/totals")
     storage.drop(spark, f"{folder}/blocks/kind=1")
     blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
     both = exchange.answered(blocks, replies)
