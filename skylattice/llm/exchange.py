@@ -83,9 +83,13 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def fan(buckets: int) -> int:
+    """Buckets that a block's message is split over."""
+    return min(buckets, FAN)
+
+
 def sends(keys: np.ndarray, counts: list[np.ndarray], buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed hashes and counts, of one or more kinds) of sorted distinct keys, for the first level of totals."""
-    buckets = min(buckets, FAN)
+    """(bucket, packed hashes and counts, of one or more kinds) of sorted distinct keys."""
     edges = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)).tolist():
         lo, hi = edges[b], edges[b + 1]

@@ -159,11 +159,12 @@ def score(documents: DataFrame) -> DataFrame:
     folder = storage.work_dir(spark, "lm")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = exchange.buckets_for(exchange.text_bytes(rows))
+    fan = exchange.fan(buckets)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
             block, name = Block.of(batch), uuid.uuid4().hex
-            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(*block.counts(), buckets))]
+            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(*block.counts(), fan))]
             yield pa.RecordBatch.from_pydict({"kind": pa.array([x[0] for x in out], pa.int32()), "block": [name] * len(out), "bucket": pa.array([x[1] for x in out], pa.int32()), "data": pa.array([x[2] for x in out], pa.binary())})
 
     table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")

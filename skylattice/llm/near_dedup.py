@@ -542,6 +542,7 @@ def postings(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
     """
     size = sets.agg(F.sum(F.octet_length("s")).alias("b")).head()["b"] or 0
     buckets = exchange.buckets_for(size)
+    fan = exchange.fan(buckets)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -551,7 +552,7 @@ def postings(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
                 keys, counts = np.unique(np.concatenate(flat), return_counts=True)
                 ids, label, n = (np.asarray(x, np.int64).tobytes() for x in (part.column(0).to_numpy(), part.column(1).to_numpy(), [len(x) for x in flat]))
                 name = uuid.uuid4().hex
-                for kind, b, data in [(0, -1, exchange.pack_parts(ids, label, n, np.concatenate(flat).tobytes())), *((1, b, d) for b, d in exchange.sends(keys, [counts], buckets))]:
+                for kind, b, data in [(0, -1, exchange.pack_parts(ids, label, n, np.concatenate(flat).tobytes())), *((1, b, d) for b, d in exchange.sends(keys, [counts], fan))]:
                     yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([data], pa.binary())})
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

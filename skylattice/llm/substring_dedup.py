@@ -221,12 +221,13 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = exchange.text_bytes(rows)
     buckets, shards = exchange.buckets_for(size), max(1, -(-size // SHARD_BYTES))
+    fan = exchange.fan(buckets)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
             block, name = Block.of(batch), uuid.uuid4().hex
             anchors, counts = np.unique(block.segments(window, gram)[2], return_counts=True)
-            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(anchors, [counts], buckets))]
+            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(anchors, [counts], fan))]
             yield pa.RecordBatch.from_pydict({"kind": pa.array([x[0] for x in out], pa.int32()), "block": [name] * len(out), "bucket": pa.array([x[1] for x in out], pa.int32()), "data": pa.array([x[2] for x in out], pa.binary())})
 
     def answer(keys: np.ndarray, total: np.ndarray) -> tuple[list[np.ndarray], bytes]:

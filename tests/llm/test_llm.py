@@ -101,7 +101,7 @@ def test_totals(spark, tmp_path, monkeypatch, fan):
     rng = np.random.default_rng(2)
     sent = [np.unique(rng.integers(0, 400, 150, dtype=np.uint64) * np.uint64(2**55 + 12345)) for _ in range(12)]
     kinds = [[rng.integers(0, 9, len(k)) for _ in range(2)] for k in sent]
-    rows = [(f"b{j}", b, bytearray(d)) for j, (k, c) in enumerate(zip(sent, kinds)) for b, d in exchange.sends(k, c, 32)]
+    rows = [(f"b{j}", b, bytearray(d)) for j, (k, c) in enumerate(zip(sent, kinds)) for b, d in exchange.sends(k, c, exchange.fan(32))]
     table = spark.createDataFrame(rows, exchange.MESSAGE)
     answer = lambda keys, x, y: ([x.astype(np.uint64), (y % 250).astype(np.uint8)], np.array([len(keys)]).tobytes())
     out = exchange.totals(table, answer, [np.uint64, np.uint8], 32, f"file://{tmp_path}").collect()
