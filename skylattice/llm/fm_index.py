@@ -2,12 +2,10 @@
 
 The Burrows-Wheeler transform is held in a wavelet tree: for each bit of the
 word numbers, from the highest, one packed bit vector with a count for every 64
-bits, so a rank is a table look-up and a population count.  All queries take
-each step together.
-
-Suffixes are sorted by their first ``depth`` words only (the sort doubles the
-prefix each round).  Intervals of patterns of up to ``depth`` words do not depend
-on the order of suffixes that tie, so backward search is exact up to that length.
+bits, so a rank is a table look-up and a population count.  Of the suffix array
+only the entries of every SAMPLE-th text place are kept; other places are found
+by steps back through the transform.  The text itself is not kept.  All queries
+take each step together.
 """
 
 from __future__ import annotations
@@ -15,25 +13,34 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes by their first depth words (at least)."""
+#: Every so many places of the text, the suffix array is kept.
+SAMPLE = 16
+
+
+def suffix_order(tokens: np.ndarray) -> np.ndarray:
+    """All suffixes in order; the sorted prefix doubles each round, and only suffixes that tie are sorted again."""
     n = len(tokens)
-    rank = tokens.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(tokens, kind="stable")
+    first = np.concatenate(([True], np.diff(tokens[order]) != 0))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     have = 1
-    while have < depth:
-        after = np.zeros(n, np.int64)
-        after[: n - have] = rank[have:] + 1
-        key = rank * (int(after.max()) + 1) + after
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.concatenate(([0], np.cumsum(sorted_key[1:] != sorted_key[:-1])))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+    while True:
+        last = np.append(first[1:], True)
+        tied = np.flatnonzero(~(first & last))
+        if not len(tied):
+            return order
+        at = order[tied]
+        beyond = at + have
+        after = np.where(beyond < n, rank[np.minimum(beyond, n - 1)], -1)
+        by = np.lexsort((after, rank[at]))
+        at, after = at[by], after[by]
+        group = rank[at]
+        order[tied] = at
+        first[tied[1:]] = (group[1:] != group[:-1]) | (after[1:] != after[:-1])
+        first[tied[0]] = True
+        rank[at] = np.maximum.accumulate(np.where(first[tied], tied, 0))
         have *= 2
-        if new[-1] == n - 1:
-            break
-    return order
 
 
 class BitVector:
@@ -72,20 +79,34 @@ class WaveletTree:
         return lo, hi
 
 
+    def access(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol at each place, its place in the last level)."""
+        symbol = np.zeros(len(i), np.int64)
+        for shift, vector, zeros in self.levels:
+            before = vector.rank(i)
+            one = vector.words[i >> 6] >> (i & 63).astype(np.uint64) & np.uint64(1) == 1
+            symbol |= one.astype(np.int64) << shift
+            i = np.where(one, zeros + before, i - before)
+        return symbol, i
+
+
 class FMIndex:
-    """tokens: word numbers from 1 on, 0 between texts."""
+    """tokens: word numbers from 1 on, 0 after each text. Inside, all are one higher, and a single 0 ends them."""
 
-    def __init__(self, tokens: np.ndarray, depth: int):
-        self.sa = suffix_order(tokens, depth)
-        bwt = tokens[self.sa - 1]
+    def __init__(self, tokens: np.ndarray):
+        tokens = np.append(tokens + 1, 0)
+        sa = suffix_order(tokens)
         bits = max(1, int(tokens.max()).bit_length())
-        self.tree = WaveletTree(bwt, bits)
+        self.n = len(tokens)
+        self.tree = WaveletTree(tokens[sa - 1], bits)
         counts = np.bincount(tokens)
         self.first = np.concatenate(([0], np.cumsum(counts)))
         # where each symbol starts in the tree's last level
         zero = np.zeros(len(counts), np.int64)
         self.base, _ = self.tree.ranks(np.arange(len(counts)), zero, zero)
-        self.tokens = tokens
+        sampled = sa % SAMPLE == 0
+        self.marked = BitVector(sampled)
+        self.samples = sa[sampled].astype(np.int32 if self.n < 2**31 else np.int64)
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the patterns with symbol put before them."""
@@ -93,23 +114,40 @@ class FMIndex:
         shift = self.first[symbol] - self.base[symbol]
         return a + shift, b + shift
 
-    def matching(self, starts: np.ndarray, length: int, least: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(matched words, lo, hi) of the windows of `length` indexed words at starts, searched from their last word back.
-
-        A window is followed while its interval has `least` rows; matched tells
-        how far that goes, and lo and hi hold for those that go all the way.
+    def locate(self, rows: np.ndarray) -> np.ndarray:
+        """The text place of the suffix of each row: back through the transform to the next kept entry."""
+        out, row, open_ = np.zeros(len(rows), np.int64), rows.copy(), np.arange(len(rows))
+        for steps in range(SAMPLE):
+            if not len(open_):
+                break
+            at = row[open_]
+            kept = self.marked.words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1
+            out[open_[kept]] = self.samples[self.marked.rank(at[kept])] + steps
+            open_, at = open_[~kept], at[~kept]
+            symbol, place = self.tree.access(at)
+            row[open_] = self.first[symbol] + place - self.base[symbol]
+        return out
+
+    def matching_statistics(self, stream: np.ndarray, limit: int, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(length, lo, hi) for each place of a streamed text: of the words that end there, the longest run of at most `limit` that the index has `least` times, and its interval.
+
+        stream: word numbers of the index; 0 ends a text, and no match goes over it.
+        lo and hi hold for the places that reach the limit.
         """
-        n = len(starts)
-        symbol = self.tokens[starts + length - 1]
-        lo, hi = self.first[symbol], self.first[symbol + 1]
-        matched = np.zeros(n, np.int64)
-        live = np.flatnonzero(hi - lo >= least)
-        matched[live] = 1
-        for k in range(length - 2, -1, -1):
+        length, lo, hi = (np.zeros(len(stream), np.int64) for _ in range(3))
+        stream = np.where((stream > 0) & (stream < len(self.first) - 2), stream + 1, 0)  # 0: in no text of the index
+        live = np.flatnonzero(stream)
+        lo[live], hi[live] = self.first[stream[live]], self.first[stream[live] + 1]
+        live = live[hi[live] - lo[live] >= least]
+        length[live] = 1
+        for k in range(1, limit):
+            live = live[live >= k]
+            live = live[stream[live - k] > 0]
             if not len(live):
                 break
-            a, b = self.extend(self.tokens[starts[live] + k], lo[live], hi[live])
-            lo[live], hi[live] = a, b
-            live = live[b - a >= least]
-            matched[live] += 1
-        return matched, lo, hi
+            a, b = self.extend(stream[live - k], lo[live], hi[live])
+            enough = b - a >= least
+            live = live[enough]
+            lo[live], hi[live] = a[enough], b[enough]
+            length[live] += 1
+        return length, lo, hi

@@ -12,16 +12,19 @@ earlier (smaller doc_id, or earlier in the same document) is removed.
 3. Classes go to shards by their anchor; where very many documents share an
    anchor, window by window and by the window's own hash, so that no key gathers
    more than what has equal text, and that is one class.  A shard builds an
-   FM-index over its classes, streams every window through backward search and
-   reports those whose match reaches the full length, at an interval that also
-   holds an earlier start.
+   FM-index over its classes, in document order, with a sampled suffix array.
+   The classes stream through it for their matching statistics up to the window
+   length; where those reach it, the places of the interval are located, and a
+   window is reported if the least place is an earlier start.
 4. The removed intervals of each document meet its text by a shuffled hash join
-   on doc_id.
+   on doc_id and the hash of the text.
 
 Words are compared by 64-bit hashes.  Nulls and empties: null or empty texts
 have no words and stay as they are.  A null doc_id sorts first.  Rows of one
 doc_id and equal text are one document met twice: neither is earlier, both get
-the same result.  An empty table gives an empty result.
+the same result.  Different texts under one doc_id are different documents, and
+the one whose text has the lesser hash counts as earlier.  An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -47,28 +50,28 @@ HOT = 256
 SHARD_BYTES = 1_000_000
 BATCH_BYTES = 6_000_000
 UNIQUE, REPEATED, COMMON = 0, 1, 2
-SPANS = "doc_id long, lo long, hi long"
+SPANS = "doc_id long, tag long, lo long, hi long"
 
 
 class Block:
-    """Word hashes of some documents."""
+    """Word hashes of some documents, which their ids and the hashes of their texts name."""
 
-    def __init__(self, ids: np.ndarray, first: np.ndarray, idx: np.ndarray, hashes: np.ndarray):
-        self.ids, self.first, self.idx, self.hashes = ids, first, idx, hashes
+    def __init__(self, ids: np.ndarray, tags: np.ndarray, first: np.ndarray, idx: np.ndarray, hashes: np.ndarray):
+        self.ids, self.tags, self.first, self.idx, self.hashes = ids, tags, first, idx, hashes
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> "Block":
         w = text.split_words(batch.column(1))
         idx, distinct = w.encoded()
-        return cls(text.ids(batch.column(0)), w.first, *text.by_frequency(idx, text.hashed(distinct)))
+        return cls(text.ids(batch.column(0)), batch.column(2).to_numpy(), w.first, *text.by_frequency(idx, text.hashed(distinct)))
 
     def dump(self) -> bytes:
-        return exchange.pack_parts(self.ids.tobytes(), self.first.astype(np.int64).tobytes(), exchange.squeeze(self.idx.astype(np.uint32)), exchange.squeeze_hashes(self.hashes))
+        return exchange.pack_parts(self.ids.tobytes(), self.tags.tobytes(), self.first.astype(np.int64).tobytes(), exchange.squeeze(self.idx.astype(np.uint32)), exchange.squeeze_hashes(self.hashes))
 
     @classmethod
     def load(cls, data: bytes) -> "Block":
         p = exchange.parts_of(data)
-        return cls(np.frombuffer(p[0], np.int64), np.frombuffer(p[1], np.int64), exchange.expand(p[2], np.uint32).astype(np.int64), exchange.expand_hashes(p[3]))
+        return cls(*(np.frombuffer(x, np.int64) for x in p[:3]), exchange.expand(p[3], np.uint32).astype(np.int64), exchange.expand_hashes(p[4]))
 
     def segments(self, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first window, number of windows, anchor) of each run of windows with one anchor; the words' hashes."""
@@ -99,13 +102,13 @@ class Block:
         return run, n, grams[place[run]], words
 
 
-def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _merged(doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Intervals of each document, sorted, with those that meet or overlap joined."""
     if not len(doc):
-        return doc, lo, hi
-    order = np.lexsort((lo, doc))
-    doc, lo, hi = doc[order], lo[order], hi[order]
-    change = np.concatenate(([True], doc[1:] != doc[:-1]))
+        return doc, tag, lo, hi
+    order = np.lexsort((lo, tag, doc))
+    doc, tag, lo, hi = doc[order], tag[order], lo[order], hi[order]
+    change = np.concatenate(([True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])))
     group = np.cumsum(change) - 1
     # a running maximum within each document: lift each document above the one before
     lift = group * (int(hi.max()) + 1)
@@ -113,21 +116,20 @@ def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray
     new = change.copy()
     new[1:] |= lo[1:] > reach[:-1]
     start = np.flatnonzero(new)
-    return doc[start], lo[start], np.maximum.reduceat(hi, start)
+    return doc[start], tag[start], lo[start], np.maximum.reduceat(hi, start)
 
 
-def _spans(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Table:
-    doc, lo, hi = _merged(doc, lo, hi)
-    return pa.table({"doc_id": pa.array(doc, pa.int64()), "lo": pa.array(lo, pa.int64()), "hi": pa.array(hi, pa.int64())})
+def _spans(*columns: np.ndarray) -> pa.Table:
+    return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("doc_id", "tag", "lo", "hi"), _merged(*columns))})
 
 
-def _earliest(content: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _earliest(content: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the earliest member of each class, members that start later than it)."""
-    order = np.lexsort((at, doc, content))
+    order = np.lexsort((at, tag, doc, content))
     new = np.concatenate(([True], content[order][1:] != content[order][:-1]))
     first = order[new]
     least = first[np.cumsum(new) - 1]
-    later = (doc[order] != doc[least]) | (at[order] != at[least])
+    later = (doc[order] != doc[least]) | (tag[order] != tag[least]) | (at[order] != at[least])
     return first, order[later]
 
 
@@ -150,75 +152,67 @@ def _classes(data: bytes, said: list, window: int, gram: int) -> Iterator[pa.Rec
     key = np.concatenate((anchor[~common], whole[each]))
     content = text.pair_hash(text.pair_hash(whole[begin], whole[begin + size - 1]), size.astype(np.uint64))
     k = np.searchsorted(block.first, begin, "right") - 1
-    doc, at = block.ids[k], begin - block.first[k]
-    keep, later = _earliest(content, doc, at)
-    spans = _spans(doc[later], at[later], at[later] + size[later] + window - 1)
+    doc, tag, at = block.ids[k], block.tags[k], begin - block.first[k]
+    keep, later = _earliest(content, doc, tag, at)
+    spans = _spans(doc[later], tag[later], at[later], at[later] + size[later] + window - 1)
     m = spans.num_rows
     if m:
         zero = pa.array(np.zeros(m, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), zero, zero, *(spans.column(c).combine_chunks() for c in ("doc_id", "lo", "hi")), pa.array([b""] * m, pa.binary())], names=["kind", "key", "content", "doc_id", "lo", "hi", "words"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), zero, zero, *(spans.column(c).combine_chunks() for c in ("doc_id", "tag", "lo", "hi")), pa.array([b""] * m, pa.binary())], names=["kind", "key", "content", "doc_id", "tag", "lo", "hi", "words"])
     for i in range(0, len(keep), 20_000):
         part = keep[i : i + 20_000]
         length = size[part] + window - 1
         flat = words[text.ragged(begin[part], length)].tobytes()
         offsets = np.concatenate(([0], np.cumsum(8 * length))).astype(np.int32)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.ones(len(part), np.int32)), pa.array(key[part].view(np.int64)), pa.array(content[part].view(np.int64)), pa.array(doc[part], pa.int64()), pa.array(at[part], pa.int64()), pa.array(size[part], pa.int64()),
+            pa.array(np.ones(len(part), np.int32)), pa.array(key[part].view(np.int64)), pa.array(content[part].view(np.int64)), pa.array(doc[part], pa.int64()), pa.array(tag[part], pa.int64()), pa.array(at[part], pa.int64()), pa.array(size[part], pa.int64()),
             pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]),
-        ], names=["kind", "key", "content", "doc_id", "lo", "hi", "words"])
+        ], names=["kind", "key", "content", "doc_id", "tag", "lo", "hi", "words"])
 
 
 def search_shard(group: pa.Table, window: int) -> pa.Table:
-    """Removed intervals (doc_id, lo, hi) of a shard: those of kind 0 as they are, and what is found among the classes (kind 1: doc_id, lo: first word, hi: number of windows, words)."""
+    """Removed intervals (doc_id, tag, lo, hi) of a shard: those of kind 0 as they are, and what is found among the classes (kind 1: doc_id, tag, lo: first word, hi: number of windows, words)."""
     known = group.filter(pc.equal(group.column("kind"), 0))
     group = group.filter(pc.equal(group.column("kind"), 1))
-    out = [tuple(known.column(c).to_numpy() for c in ("doc_id", "lo", "hi"))]
+    out = [tuple(known.column(c).to_numpy() for c in ("doc_id", "tag", "lo", "hi"))]
     if not group.num_rows:
         return _spans(*out[0])
-    content, doc, at, n = (group.column(c).to_numpy() for c in ("content", "doc_id", "lo", "hi"))
-    keep, later = _earliest(content, doc, at)
-    out.append((doc[later], at[later], at[later] + n[later] + window - 1))
-    doc, at, n = doc[keep], at[keep], n[keep]
+    content, doc, tag, at, n = (group.column(c).to_numpy() for c in ("content", "doc_id", "tag", "lo", "hi"))
+    keep, later = _earliest(content, doc, tag, at)
+    out.append((doc[later], tag[later], at[later], at[later] + n[later] + window - 1))
+    # in document order: an earlier start then has a lesser place in the index
+    keep = keep[np.lexsort((at[keep], tag[keep], doc[keep]))]
+    doc, tag, at, n = doc[keep], tag[keep], at[keep], n[keep]
     blob = group.column("words").take(pa.array(keep)).combine_chunks().cast(pa.large_binary())
     offsets = np.frombuffer(blob.buffers()[1], np.int64)[blob.offset : blob.offset + len(keep) + 1]
     words = np.frombuffer(blob.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view(np.uint64)
     length = n + window - 1
     first = np.cumsum(length) - length
-    number = np.unique(words, return_inverse=True)[1] + 1
-    tokens = np.insert(number, np.append(first[1:], len(number)), 0)
-    begin = first + np.arange(len(first))
-    index = FMIndex(tokens, window)
-    segment = np.repeat(np.arange(len(n)), n)
-    within = np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
-    starts = begin[segment] + within
-    matched, lo, hi = index.matching(starts, window)
-    full = np.flatnonzero(matched == window)
-    if len(full):
-        # ranks of starts in the order of documents and places
-        d, p = doc[segment], at[segment] + within
-        order = np.lexsort((p, d))
-        new = np.concatenate(([True], (d[order][1:] != d[order][:-1]) | (p[order][1:] != p[order][:-1])))
-        rank_of = np.full(len(tokens), len(order), np.int64)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(new)
-        rank_of[starts] = rank
-        by_row = rank_of[index.sa]
-        left, inverse = np.unique(lo[full], return_inverse=True)
+    stream = np.insert(np.unique(words, return_inverse=True)[1] + 1, np.append(first[1:], len(words)), 0)
+    index = FMIndex(stream)
+    matched, lo, hi = index.matching_statistics(stream, window, least=2)
+    ends = np.flatnonzero(matched == window)
+    if len(ends):
+        # equal windows have one interval: its places are located once
+        left, inverse = np.unique(lo[ends], return_inverse=True)
         right = np.zeros(len(left), np.int64)
-        right[inverse] = hi[full]
-        edges = np.stack((left, right), 1).ravel()
-        least = np.minimum.reduceat(np.append(by_row, len(order)), edges)[::2]
-        gone = full[rank[full] > least[inverse]]
-        out.append((d[gone], p[gone], p[gone] + window))
-    doc, lo, hi = (np.concatenate(x) for x in zip(*out))
-    return _spans(doc, lo, hi)
+        right[inverse] = hi[ends]
+        places = index.locate(text.ragged(left, right - left))
+        least = np.minimum.reduceat(places, np.cumsum(right - left) - (right - left))
+        start = ends - window + 1
+        start = start[start > least[inverse]]
+        begin = first + np.arange(len(first))
+        k = np.searchsorted(begin, start, "right") - 1
+        lo = at[k] + start - begin[k]
+        out.append((doc[k], tag[k], lo, lo + window))
+    return _spans(*(np.concatenate(x) for x in zip(*out)))
 
 
 def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
-    """doc_id (NULL_ID for null), lo, hi: intervals of words to remove; they may overlap."""
+    """doc_id (NULL_ID for null), tag (hash of the text), lo, hi: intervals of words to remove; they may overlap."""
     spark = documents.sparkSession
     gram = min(ANCHOR, window)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
     size = exchange.text_bytes(rows)
     buckets, shards = exchange.buckets_for(size), max(1, -(-size // SHARD_BYTES))
     fan = exchange.fan(buckets)
@@ -243,10 +237,10 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     storage.drop(spark, f"{folder}/blocks/kind=1")
     blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
     both = exchange.answered(blocks, replies)
-    made = both.mapInArrow(classes, "kind int, key long, content long, doc_id long, lo long, hi long, words binary")
+    made = both.mapInArrow(classes, "kind int, key long, content long, doc_id long, tag long, lo long, hi long, words binary")
     # intervals that need no search travel with the classes, by their document
     shard = F.pmod(F.when(F.col("kind") == 1, F.xxhash64("key")).otherwise(F.xxhash64("doc_id")), F.lit(shards))
-    dealt = made.select(shard.alias("shard"), "kind", "content", "doc_id", "lo", "hi", "words")
+    dealt = made.select(shard.alias("shard"), "kind", "content", "doc_id", "tag", "lo", "hi", "words")
     spans = storage.save(dealt.groupBy("shard").applyInArrow(lambda group: search_shard(group, window), SPANS), f"{folder}/spans")
     storage.drop(spark, f"{folder}/blocks")
     return spans
@@ -256,9 +250,9 @@ def _with_spans(documents: DataFrame, window: int) -> DataFrame:
     """documents' columns and, as the last two, the removed intervals of each row: arrays of first words and of ends."""
     folder = storage.work_dir(documents.sparkSession, "substring")
     spans = repeats(documents, window, folder)
-    each = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    each = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     key = F.coalesce(documents["doc_id"].cast("long"), F.lit(text.NULL_ID))
-    joined = documents.join(each.hint("shuffle_hash"), key == each["doc_id"], "left")
+    joined = documents.join(each.hint("shuffle_hash"), (key == each["doc_id"]) & (F.xxhash64(documents["text"]) == each["tag"]), "left")
     return joined.select(*(documents[c] for c in documents.columns), each["spans"]["lo"].alias("_lo"), each["spans"]["hi"].alias("_hi"))
 
 
@@ -267,7 +261,7 @@ def _gone(batch: pa.RecordBatch, w: text.Words) -> np.ndarray:
     change = np.zeros(len(w.words) + 1, np.int64)
     for lists, sign in ((batch.column(batch.num_columns - 2), 1), (batch.column(batch.num_columns - 1), -1)):
         n = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-        at = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(w.first[:-1], n)
+        at = np.minimum(lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(w.first[:-1], n), np.repeat(w.first[1:], n))
         np.add.at(change, at.astype(np.int64), sign)
     return np.cumsum(change[:-1]) > 0
 

@@ -123,18 +123,20 @@ def test_fm_index():
         length, v = int(rng.integers(1, 8)), int(rng.integers(1, 5))
         texts = [rng.integers(1, v + 1, rng.integers(length, 30)) for _ in range(rng.integers(1, 10))]
         t = np.concatenate([np.append(x, 0) for x in texts])
-        begin = np.cumsum([0, *(len(x) + 1 for x in texts[:-1])])
-        starts = np.concatenate([b + np.arange(len(x) - length + 1) for b, x in zip(begin, texts)])
-        index = fm_index.FMIndex(t, length)
-        matched, lo, hi = index.matching(starts, length)
-        places = collections.defaultdict(list)
-        for s in starts:
-            places[tuple(t[s : s + length])].append(s)
-        for k, s in enumerate(starts):
-            found = places[tuple(t[s : s + length])]
-            assert (matched[k] == length) == (len(found) > 1)
-            if len(found) > 1:
-                assert sorted(index.sa[lo[k] : hi[k]]) == found
+        index = fm_index.FMIndex(t)
+        order = sorted(range(len(t)), key=lambda k: t[k:].tolist())
+        assert index.locate(np.arange(1, len(t) + 1)).tolist() == order
+        least = int(rng.integers(1, 3))
+        matched, lo, hi = index.matching_statistics(t, length, least)
+        text_of = lambda a, b: tuple(t[a : b + 1])
+        for e in range(len(t)):
+            best = 0
+            while best < length and e - best >= 0 and t[e - best] and sum(text_of(p - best, p) == text_of(e - best, e) for p in range(best, len(t))) >= least:
+                best += 1
+            assert matched[e] == best
+            if best == length:
+                places = [p - length + 1 for p in range(length - 1, len(t)) if text_of(p - length + 1, p) == text_of(e - length + 1, e)]
+                assert sorted(index.locate(np.arange(lo[e], hi[e]))) == places
 
 
 # --- operators -------------------------------------------------------------------
@@ -717,6 +719,19 @@ def brute_substring(texts, window):
         yield w, gone
 
 
+def test_substring_dedup_with_shared_ids(spark):
+    """Repeated rows are one document; different texts under one id are told apart by the hash of the text."""
+    say = lambda c, n: " ".join(f"{c}{k}" for k in range(n))
+    long, short, other = say("a", 400) + " " + say("a", 60), say("b", 30), say("a", 40)
+    rows = [(6, long), (6, short), (6, long), (7, other), (7, short + " x"), (None, other), (None, None)]
+    got = collections.Counter(tuple(r) for r in substring_dedup.digest(documents(spark, [t for _, t in rows], [i for i, _ in rows]), 20).collect())
+    tag = lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).head()[0]
+    order = sorted({r for r in rows if r[1]}, key=lambda r: (r[0] is not None, r[0] or 0, tag(r[1])))
+    expected = {r: (len(w), sum(gone), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest()) for r, (w, gone) in zip(order, brute_substring([t for _, t in order], 20))}
+    expected[None, None] = (0, 0, hashlib.sha256(b"").hexdigest())
+    assert got == collections.Counter((r[0], *expected[r]) for r in rows)
+
+
 @pytest.mark.parametrize("window,hot", [(20, 256), (5, 2), (20, 1)])
 def test_substring_dedup(spark, monkeypatch, window, hot):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
