@@ -1,26 +1,30 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives are labelled documents of good quality; the unlabelled set is
-web text as it comes.  A logistic model over character and word statistics of
-the whole text minimises the non-negative unbiased risk (Kiryo et al., 2017)
+web text as it comes: all texts of the training folds.  A logistic model over
+character and word statistics of the whole text minimises the non-negative
+unbiased risk (Kiryo et al., 2017)
 
     pi R_p+  +  max(0, R_u-  -  pi R_p-)
 
-with the class prior pi estimated from the labelled rows of the training folds.
-The fit is on bounded samples (MOST_POSITIVE, MOST_UNLABELLED rows, the least by
-a hash of doc_id); scoring is one pass over all texts without a shuffle.
+with the class prior pi estimated by the share of good ones among the labelled
+rows of the training folds.  For the logistic loss the unbiased risk is convex,
+so it is minimised by Newton steps; a step that would bring the second part
+below 0, where the estimate overfits, is halved until it does not.  Features are
+extracted once and written; a step is one pass over them that returns sums only,
+so every training text counts, at any size.
 
 Nulls and empties: a null or empty text has all-zero features and gets a score
 like any other.  A null doc_id counts as the empty id for the folds.  A label that
-is null or repeated is no fault: null ones are skipped.  Without labelled
-positives in the training folds every document gets score 1.  An empty table
-gives an empty result.
+is null or repeated is no fault: null ones are skipped.  Repeated rows count as
+often as they occur.  Without labelled positives in the training folds every
+document gets score 1.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import text
+from . import storage, text
 
-#: Bounds of the samples that the model is fitted on.
-MOST_POSITIVE, MOST_UNLABELLED = 8_000, 16_000
 THRESHOLD = 0.3
+#: Passes over the training features at most, weight of the penalty, and the gain of the risk that ends the steps.
+MOST_PASSES, PENALTY, LEAST_GAIN = 30, 1e-3, 1e-5
 BATCH_BYTES = 6_000_000
 
 #: Classes of bytes: each ASCII sign is its own; letters, digits, space, other control characters and non-ASCII are groups.
@@ -92,80 +96,138 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.03, penalty: float = 1e-4) -> Model:
-    """Minimises the non-negative risk by Adam; where its second part is below 0, that part is pushed up instead."""
-    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-    p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
-    w, b = np.zeros(p.shape[1]), 0.0
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for t in range(1, rounds + 1):
-        fp, fu = p @ w + b, u @ w + b
-        sp, su = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        # gradients of the mean losses by the scores
-        plus, minus_p, minus_u = (sp - 1) / len(p), sp / len(p), su / len(u)
-        on_p, on_u = (prior * plus - prior * minus_p, minus_u) if negative >= 0 else (prior * minus_p, -minus_u)
-        g = np.append(p.T @ on_p + u.T @ on_u + penalty * w, on_p.sum() + on_u.sum())
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
-    return Model(w, float(b), mean, scale)
+def sums_of(x: np.ndarray, positive: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums over rows (standardised, with a last column of ones) at the weights w.
+
+    Unlabelled: number, softplus(f), gradient, Hessian; positives: number, f, softplus(f), features.
+    """
+    f = x @ w
+    s = 1 / (1 + np.exp(-np.clip(f, -500, 500)))
+    p = x[positive]
+    return np.concatenate(([len(x), np.logaddexp(0, f).sum()], x.T @ s, ((x * (s * (1 - s))[:, None]).T @ x).ravel(), [len(p), f[positive].sum(), np.logaddexp(0, f[positive]).sum()], p.sum(0)))
+
+
+def fit(sums: Callable[[np.ndarray], np.ndarray], size: int, prior: float) -> np.ndarray:
+    """Weights of least non-negative risk; sums(w) is a pass over all training rows (see sums_of)."""
+    penalty = np.append(np.full(size - 1, PENALTY), 0.0)
+
+    def at(w: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+        """(risk with penalty, its second part, gradient, Hessian)."""
+        v = sums(w)
+        n, loss, grad, hessian = v[0], v[1], v[2 : 2 + size], v[2 + size : 2 + size + size * size].reshape(size, size)
+        n_p, f_p, loss_p, x_p = (*v[2 + size + size * size :][:3], v[2 + size + size * size + 3 :])
+        risk = loss / n - prior * f_p / n_p + 0.5 * (penalty * w * w).sum()
+        return risk, loss / n - prior * loss_p / n_p, grad / n - prior * x_p / n_p + penalty * w, hessian / n + np.diag(penalty + 1e-9)
+
+    w = np.zeros(size)
+    risk, _, gradient, hessian = at(w)
+    step, scale = np.linalg.solve(hessian, -gradient), 1.0
+    for _ in range(MOST_PASSES - 1):
+        new = w + scale * step
+        found = at(new)
+        if found[0] > risk or found[1] < 0:
+            scale /= 2
+            if scale < 1 / 32:
+                break
+            continue
+        gain, w, scale = risk - found[0], new, 1.0
+        risk, _, gradient, hessian = found
+        step = np.linalg.solve(hessian, -gradient)
+        if gain < LEAST_GAIN:
+            break
+    return w
+
+
+def featured(documents: DataFrame, folder: str) -> DataFrame:
+    """doc_id, x (features as float32 bytes) of each row, written once."""
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text.blocks(batches, "text", BATCH_BYTES):
+            x = features(batch.column(1)).astype(np.float32)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "x": pa.array(list(map(bytes, x)), pa.binary())})
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return storage.save(rows.mapInArrow(extract, "doc_id long, x binary"), f"{folder}/features")
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """The features of a batch, a row each."""
+    return np.frombuffer(b"".join(v.as_buffer() for v in column), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+
+
+def total(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum of part(batch), a vector, over all batches: added up in each task, then by place."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 20_000):
+                v = part(batch.slice(at, 20_000))
+                out = v if out is None else out + v
+        if out is not None:
+            yield pa.RecordBatch.from_pydict({"k": pa.array(np.arange(len(out))), "v": pa.array(out)})
+
+    found = rows.mapInArrow(add, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()  # a row a place
+    return np.array([r["v"] for r in found])
 
 
 def _training(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 != 0
 
 
-def train(documents: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from the training folds, or None without positives there."""
+def train(rows: DataFrame, labels: DataFrame, folder: str) -> Model | None:
+    """A model from the training folds of featured rows, or None without positives there."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where(_training(F.col("doc_id")) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     prior = known.agg(F.avg((F.col("quality") == 1).cast("double")).alias("p"), F.count("*").alias("n")).head()
     if not prior["n"] or not prior["p"]:
         return None
-    prior = float(np.clip(prior["p"], 0.05, 0.95))
-    order = F.xxhash64("doc_id")
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id")).where(_training(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    good = known.where("quality = 1").select("doc_id").distinct().orderBy(order).limit(MOST_POSITIVE).withColumn("positive", F.lit(True))
-    web = ids.orderBy(F.xxhash64("doc_id", F.lit(1))).limit(MOST_UNLABELLED).withColumn("positive", F.lit(False))
-    chosen = F.broadcast(good.unionByName(web))  # at most MOST_POSITIVE + MOST_UNLABELLED ids
+    good = known.where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    rows = rows.where(_training(F.col("doc_id"))).join(good, "doc_id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"))
+    rows = storage.save(rows, f"{folder}/training")
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text.blocks(batches, "text", BATCH_BYTES):
-            x = features(batch.column(1)).astype(np.float32)
-            yield pa.RecordBatch.from_pydict({"positive": batch.column(0), "x": pa.array(list(map(bytes, x)), pa.binary())})
+    def moments(batch: pa.RecordBatch) -> np.ndarray:
+        x = matrix(batch.column(0))
+        return np.concatenate(([len(x), batch.column(1).to_numpy(zero_copy_only=False).sum()], x.sum(0), (x * x).sum(0)))
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    found = rows.select("positive", "text").mapInArrow(extract, "positive boolean, x binary").toPandas()
-    x = np.frombuffer(b"".join(found["x"]), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
-    positive = found["positive"].to_numpy(bool)
-    if not positive.any() or positive.all():
+    v = total(rows, moments)
+    if not len(v) or not v[1]:
         return None
-    return fit(x[positive], x[~positive], prior)
+    mean = v[2 : 2 + N_FEATURES] / v[0]
+    scale = np.sqrt(np.maximum(v[2 + N_FEATURES :] / v[0] - mean * mean, 0)) + 1e-3
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def part(batch: pa.RecordBatch) -> np.ndarray:
+            x = np.clip((matrix(batch.column(0)) - mean) / scale, -8, 8)
+            return sums_of(np.hstack((x, np.ones((len(x), 1)))), batch.column(1).to_numpy(zero_copy_only=False).astype(bool), w)
 
+        return total(rows, part)
 
-def _scores(model: Model | None, texts: pa.Array) -> np.ndarray:
-    return np.ones(len(texts)) if model is None else model.score(features(texts))
+    w = fit(sums, N_FEATURES + 1, float(np.clip(prior["p"], 0.05, 0.95)))
+    return Model(w[:-1], float(w[-1]), mean, scale)
 
 
 def score(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of each document."""
-    model = train(documents, labels)
+    folder = storage.work_dir(documents.sparkSession, "quality")
+    rows = featured(documents, folder)
+    model = train(rows, labels, folder)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text.blocks(batches, "text", BATCH_BYTES):
-            s = _scores(model, batch.column(1))
+        for batch in batches:
+            s = np.ones(batch.num_rows) if model is None else model.score(matrix(batch.column(1)))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "held_out": pa.array([held_out(i) for i in batch.column(0).to_pylist()], pa.bool_()), "score": pa.array(s), "predicted": pa.array((s >= threshold).astype(np.int32))})
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(rate, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, that score at least threshold."""
-    model = train(documents, labels)
+    folder = storage.work_dir(documents.sparkSession, "quality")
+    model = train(featured(documents, folder), labels, folder)
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", BATCH_BYTES):
-            yield batch.filter(pa.array(_scores(model, batch.column(batch.schema.get_field_index("text"))) >= threshold))
+            x = features(batch.column(batch.schema.get_field_index("text"))).astype(np.float32).astype(np.float64)
+            yield batch if model is None else batch.filter(pa.array(model.score(x) >= threshold))
 
     return documents.mapInArrow(accept, documents.schema)
