@@ -86,8 +86,11 @@ def joined_name(*parts: Column) -> Column:
 
 
 def natural_key(name: Column) -> list[Column]:
-    """Sort keys that put Brand#2 before Brand#17: the text before the last number, and the number."""
-    return [F.regexp_extract(name, r"^(.*?)(\d*)$", 1), F.coalesce(F.regexp_extract(name, r"(\d*)$", 1).try_cast("bigint"), F.lit(-1))]
+    """Sort keys that put S2_9_2 before S2_10_1: runs of text and numbers of any length in turn."""
+    runs = lambda k: F.regexp_extract_all(name, F.lit(r"(\D*)(\d*)"), F.lit(k))
+    bare = lambda n: F.regexp_replace(n, r"^0+(?=\d)", "")
+    number = lambda n: F.when(n == "", "").otherwise(F.concat(F.lpad(F.length(bare(n)).cast("string"), 6, "0"), bare(n)))
+    return [F.zip_with(runs(1), runs(2), lambda t, n: F.struct(t.alias("text"), number(n).alias("number")))]
 
 
 def top_k(scores: Column, k: int) -> Column:
@@ -105,9 +108,3 @@ def any_of(value: Column, parts: list[str]) -> Column:
     """Does the text contain one of the parts?"""
     return reduce(lambda a, b: a | b, (value.contains(p) for p in parts), F.lit(False))
 
-
-def linear_quantile(ordered: Column, q: float) -> Column:
-    """Quantile of a sorted array by linear interpolation: exact, without a buffer of its own."""
-    k = (F.size(ordered) - 1) * F.lit(q)
-    lo = F.get(ordered, F.floor(k).cast("int"))
-    return lo + (F.get(ordered, F.ceil(k).cast("int")) - lo) * (k - F.floor(k))

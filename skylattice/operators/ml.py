@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent, top_k
@@ -28,6 +28,13 @@ def load_forest(path: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(path)
 
 
+def released(model):
+    """The model without its training summary, which would take the session along into the tasks that score."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def best_two(probabilities: Column, classes: list[int] | None = None) -> list[Column]:
     """label, prob, label2, prob2: the two best classes as map labels (from 1), probabilities in percent cut off; of equal ones the higher index first."""
     two = top_k(probabilities, 2)
@@ -43,7 +50,7 @@ def predict_map(model, rows: DataFrame, keys: list[str], sea: str | None = None,
     Where the first feature was missing the labels are 0.
     """
     land = rows if sea is None else rows.where(~F.col(sea))
-    scored = model.transform(land).withColumn("_p", vector_to_array("probability"))
+    scored = released(model).transform(land).withColumn("_p", vector_to_array("probability"))
     out = scored.select(*keys, *best_two(F.col("_p")), *([missing] if missing else []))
     if missing:
         out = out.withColumns({c: F.when(F.col(missing), 0).otherwise(F.col(c)) for c in ("label", "label2")}).drop(missing)

@@ -110,7 +110,7 @@ def fuse(pan: DataFrame, multi: DataFrame, keys: list[str], rows: int, columns:
     return out.select(*keys, "band", "y", "x", (F.col("_f") - F.col("_mf") * (F.col("_sl") / F.col("_sf")) + F.col("_ml")).alias("value"))
 
 
-#: Which band sharpens which; the other bands pass as they are.
+#: Which band sharpens which; the other bands pass as they are. Fixed values.
 PAIRS = (("B4", "B5"), ("B4", "B6"), ("B8", "B7"), ("B8", "B8A"))
 PASSED = ("B2", "B3", "B4", "B8", "B11", "B12")
 
@@ -156,8 +156,3 @@ def mosaic(cells: DataFrame, keys: list[str], empty_grid: DataFrame | None = Non
     if empty_grid is not None:
         out = empty_grid.select(*keys).distinct().join(out, keys, "left").fillna(0, ["class", "prob"])
     return out
-
-
-def upsampled_source(y: str, source: int, target: int):
-    """Source row of a target row, for checks against a join."""
-    return nearest(F.col(y), source, target)

@@ -63,9 +63,10 @@ def temporal_features(cube: DataFrame, bands: list[str], indices: tuple[str, ...
 def train_and_evaluate(table: DataFrame, labels: DataFrame, columns: list[str], estimator=None):
     """(model, overall metrics, metrics of each class): trained on split 'train', evaluated on 'test'."""
     rows = features.for_classifier(features.labelled(table, labels, ["tile", "y", "x"], columns), columns)
-    model = (estimator or ml.random_forest()).fit(rows.where("split = 'train'"))
+    model = ml.released((estimator or ml.random_forest()).fit(rows.where("split = 'train'")))
     tested = model.transform(rows.where("split = 'test'")).select(F.col("label").alias("gt"), F.col("prediction").cast("int").alias("pred"))
     counts = metrics.confusion(tested)
+    counts = rows.sparkSession.createDataFrame(counts.collect(), counts.schema)  # classes squared rows: the test rows are scored once
     seen = rows.where("split = 'train'").select(F.col("label").alias("class"))
     return model, metrics.overall(counts), metrics.per_class(counts, seen)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import utm_zone
 
-#: Steps of a tile, in order, and those a tile that is already registered skips.
+#: Steps of a tile, in order, and the tiles that are never registered. Fixed values.
 STEPS = ("virtual_dates", "registration", "sharpening", "cleanup")
 UNREGISTERED_TILES = ("35SLD",)
 
@@ -23,10 +23,10 @@ def season(years: DataFrame, month: int, day: int, interval: int = 5, margin: in
     return years.select("year", start.alias("output_start"), end.alias("output_end"), F.date_sub(start, margin).alias("input_start"), F.date_add(end, margin).alias("input_end"), F.lit(interval).alias("interval"))
 
 
-def manifest(tiles: DataFrame, steps: DataFrame, args: Column | None = None) -> DataFrame:
-    """step, tile, args of every step of every tile (both are short lists)."""
+def manifest(tiles: DataFrame, steps: DataFrame, args: Column | None = None, registration: bool = True) -> DataFrame:
+    """step, tile, args of every step of every tile (both are short lists); without registration, sharpening works on the virtual dates themselves."""
     both = steps.crossJoin(tiles)
-    skipped = (F.col("step") == "registration") & F.col("tile").isin(*UNREGISTERED_TILES)
+    skipped = (F.col("step") == "registration") & (F.col("tile").isin(*UNREGISTERED_TILES) | F.lit(not registration))
     return both.where(~skipped).select("step", "tile", (args if args is not None else F.create_map(F.lit("tile"), F.col("tile"))).alias("args"))
 
 
@@ -41,9 +41,9 @@ def pending(jobs: DataFrame, done: DataFrame, keys: tuple[str, ...] = ("step", "
     return jobs.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def result_suffix(tile: Column) -> Column:
-    """Suffix of registered results; unregistered tiles have none."""
-    return F.when(tile.isin(*UNREGISTERED_TILES), F.lit("")).otherwise(F.lit("_AROP"))
+def result_suffix(tile: Column, registration: bool = True) -> Column:
+    """Suffix of registered results; unregistered tiles, and runs without registration, have none."""
+    return F.when(tile.isin(*UNREGISTERED_TILES) | F.lit(not registration), F.lit("")).otherwise(F.lit("_AROP"))
 
 
 #: Resampling methods that the registration program knows; fixed values.
@@ -106,6 +106,33 @@ def phase_shift(base: np.ndarray, image: np.ndarray) -> tuple[int, int]:
     return tuple(int(s - n if s > n // 2 else s) for s, n in zip((y, x), peak.shape))
 
 
+def aligned(base: np.ndarray, image: np.ndarray) -> np.ndarray:
+    """image moved by whole pixels onto base; pixels that nothing moves to are NaN."""
+    dy, dx = phase_shift(base, image)
+    out = np.full(image.shape, np.nan)
+    (h, w), at = image.shape, lambda d, n: (slice(max(d, 0), n + min(d, 0)), slice(max(-d, 0), n - max(d, 0)))
+    (ty, fy), (tx, fx) = at(dy, h), at(dx, w)
+    out[ty, tx] = image[fy, fx]
+    return out
+
+
+def register_to(blocks: DataFrame, base: DataFrame) -> DataFrame:
+    """blocks (tile, date, band, h, w, data) moved onto the base image (tile, h, w, data) of their tile, one image at a time."""
+    both = blocks.join(base.select("tile", F.col("data").alias("_base")), "tile").select(*blocks.columns, "_base")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("data")
+            h, w = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("h", "w"))
+            read = lambda d, a, b: np.frombuffer(d.as_buffer(), np.float64).reshape(a, b)
+            data = [aligned(read(o, a, b), read(d, a, b)).tobytes() for o, d, a, b in zip(batch.column(batch.num_columns - 1), batch.column(at), h, w)]
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(data, pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return both.mapInArrow(apply, blocks.schema)
+
+
 def clean_up(spark, path: str, confirmed: bool = False) -> bool:
     """Deletes a tile's intermediate folder, only when that is confirmed."""
     if not confirmed:

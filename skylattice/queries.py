@@ -274,14 +274,13 @@ def first_match(spark, sf):
     return catalog.first_match(files, "tile", r"\.tif$")
 
 
-@query("""WITH b AS (SELECT DISTINCT p_brand, regexp_extract(p_brand, '^(.*?)([0-9]*)$', 1) AS pre, coalesce(try_cast(regexp_extract(p_brand, '([0-9]*)$', 1) AS BIGINT), -1) AS num FROM part)
-SELECT p_brand, row_number() OVER (ORDER BY pre, num, p_brand)::INT AS rank FROM b""")
+@query("SELECT name, row_number() OVER (ORDER BY p_size, num)::INT AS rank FROM (SELECT DISTINCT p_size, substr(p_brand, 7)::INT AS num, 'S' || p_size || '_' || substr(p_brand, 7) || '_x' AS name FROM part)")
 def natural_sort(spark, sf):
-    """O6.1; a few dozen names."""
+    """O6.1: names with two numbers; some hundreds of names."""
     from pyspark.sql import Window
 
-    brands = _t(spark, sf, "part").select("p_brand").distinct()
-    return brands.select("p_brand", F.row_number().over(Window.orderBy(*C.natural_key(F.col("p_brand")), "p_brand")).alias("rank"))
+    names = _t(spark, sf, "part").select(F.concat(F.lit("S"), "p_size", F.lit("_"), F.substring("p_brand", 7, 9), F.lit("_x")).alias("name")).distinct()
+    return names.select("name", F.row_number().over(Window.orderBy(*C.natural_key(F.col("name")))).alias("rank"))
 
 
 @query("SELECT DISTINCT o_orderpriority, split_part(o_orderpriority, '-', 1) AS code, substr(o_orderpriority, 3) AS name FROM orders")
@@ -739,17 +738,245 @@ def mlp_head(spark, sf):
     return model.transform(rows.where("vec_id % 2 = 1")).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
-@query(f"SELECT 'r' || tile || '.tif' AS file, y, x, round(value, 6) AS value FROM {_RASTER}")
-def geotiff_roundtrip(spark, sf):
-    """O1.1, O1.4, O1.11: written and read back"""
+def _work(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and the executors share."""
     import uuid
 
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return f"{(base or 'file:///tmp/skylattice-work').rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _rasters(spark: SparkSession, sf: str) -> str:
+    """A folder of rasters with two described bands: the values, and twice the values."""
+    from .sources import geotiff
+
+    folder = _work(spark, "geotiff")
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    pixels = _raster(spark, sf).select(F.concat(F.lit("r"), "tile", F.lit(".tif")).alias("file"), F.explode(F.array(F.struct(F.lit("B4").alias("description"), F.col("value")), F.struct(F.lit("B8").alias("description"), (2 * F.col("value")).alias("value")))).alias("b"), "y", "x")
+    geotiff.rasters(pixels.select("file", "b.*", "y", "x"), "file", 8, 8, ["B4", "B8"], "float64").write.format("geotiff").mode("append").save(folder)
+    return folder
+
+
+def _file() -> Column:
+    return F.element_at(F.split("path", "/"), -1).alias("file")
+
+
+_BANDS = f"(SELECT 'r' || tile || '.tif' AS file, tile, y, x, description, CASE WHEN description = 'B8' THEN 2 * value ELSE value END AS value FROM {_RASTER}, (VALUES ('B4'), ('B8')) b(description))"
+
+
+@query(f"SELECT file, description, y, x, round(value, 6) AS value FROM {_BANDS}")
+def geotiff_roundtrip(spark, sf):
+    """O1.1, O1.11, O1.12: written with descriptions and read back"""
+    from .sources import geotiff
+
+    back = geotiff.read(spark, _rasters(spark, sf))
+    return back.select(_file(), "description", "y", "x", *_r6("value"))
+
+
+@query(f"SELECT file, y, x, round(value, 6) AS value FROM {_BANDS} WHERE description = 'B8'")
+def geotiff_band(spark, sf):
+    """O1.2: one band by its description"""
+    from .sources import geotiff
+
+    return geotiff.read(spark, _rasters(spark, sf), ["B8"]).select(_file(), "y", "x", *_r6("value"))
+
+
+@query(f"SELECT DISTINCT file, 8 AS columns, 8 AS rows, 2 AS bands, 'float64' AS dtype, 'B4,B8' AS descriptions FROM {_BANDS}")
+def geotiff_metadata(spark, sf):
+    """O1.3"""
     from .sources import geotiff
 
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/skylattice-work").rstrip("/")
-    folder = f"{base}/geotiff-{uuid.uuid4().hex[:12]}"
+    return geotiff.metadata(spark, _rasters(spark, sf)).select(_file(), "columns", "rows", "bands", "dtype", F.array_join("descriptions", ",").alias("descriptions"))
+
+
+@query(f"SELECT file, description, y, x, round(value, 6) AS value FROM {_BANDS}")
+def geotiff_strips(spark, sf):
+    """O1.4: three strips of each file, by byte ranges"""
+    from .sources import geotiff
+
+    folder = _rasters(spark, sf)
     spark.dataSource.register(geotiff.GeoTiffSource)
-    pixels = _raster(spark, sf).select(F.concat(F.lit("r"), "tile", F.lit(".tif")).alias("file"), F.lit("B2").alias("description"), "y", "x", "value")
-    geotiff.rasters(pixels, "file", 8, 8, ["B2"], "float64").write.format("geotiff").mode("append").save(folder)
-    back = geotiff.read(spark, folder)
-    return back.select(F.element_at(F.split("path", "/"), -1).alias("file"), "y", "x", *_r6("value"))
+    return spark.read.format("geotiff").option("strips", 3).load(folder).select(_file(), "description", "y", "x", *_r6("value"))
+
+
+_UNIT = "least(greatest({0} / 1.5, 0.0), 1.0)"
+
+
+@query(f"SELECT 'r' || tile || '.tif' AS file, y, x, round({_UNIT.format('value')}, 6) AS B4, 0.0::DOUBLE AS B11 FROM {_RASTER}")
+def geotiff_normalized(spark, sf):
+    """O1.5: a band that the rasters lack is 0"""
+    from .sources import geotiff
+
+    return geotiff.read_normalized(spark, _rasters(spark, sf), ["B4", "B11"], 1.5).select(_file(), "y", "x", *_r6("B4", "B11"))
+
+
+@query(f"""SELECT file, y, x, least(y // 2, 2)::INT AS strip, round(B4, 6) AS B4, round(B8, 6) AS B8, round({_CLIP.format('(CASE WHEN B8 + B4 <> 0 THEN (B8 - B4) / (B8 + B4) ELSE -1.0 END + 1) / 2')}, 6) AS NDVI
+FROM (SELECT 'r' || tile || '.tif' AS file, y, x, {_UNIT.format('value')} AS B4, {_UNIT.format('2 * value')} AS B8 FROM {_RASTER})""")
+def geotiff_fused(spark, sf):
+    """O1.6: strips, bands, scale and index in one read"""
+    from .sources import geotiff
+
+    return geotiff.read_normalized(spark, _rasters(spark, sf), ["B4", "B8"], 1.5, 3, ("NDVI",)).select(_file(), "y", "x", "strip", *_r6("B4", "B8", "NDVI"))
+
+
+def _strip_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Maps by strip, of which the strips of odd tiles are written a second time with other values."""
+    from .plans import chains
+
+    path = _work(spark, "strips")
+    rows = _raster(spark, sf).select("tile", C.row_strip(F.col("y"), 8, 3).alias("strip"), "y", "x", "value")
+    chains.write_strips(rows, path)
+    chains.write_strips(rows.where("tile % 2 = 1 AND strip = 1").withColumn("value", F.col("value") + 1), path)
+    return spark.read.parquet(path)
+
+
+@query(f"SELECT tile::INT AS tile, least(y // 2, 2)::INT AS strip, y, x, round(value + CASE WHEN tile % 2 = 1 AND y // 2 = 1 THEN 1 ELSE 0 END, 6) AS value FROM {_RASTER}")
+def strip_update(spark, sf):
+    """O1.13: one strip is replaced, the others stay"""
+    return _strip_maps(spark, sf).select(F.col("tile").cast("int").alias("tile"), F.col("strip").cast("int").alias("strip"), "y", "x", *_r6("value"))
+
+
+@query(f"SELECT y AS gy, (x + 8 * (tile % 10))::INT AS gx, round(max(value + CASE WHEN tile % 2 = 1 AND y // 2 = 1 THEN 1 ELSE 0 END), 6) AS value FROM {_RASTER} GROUP BY ALL")
+def strips_to_mosaic(spark, sf):
+    """O1.14: strips of all tiles are put together on one grid"""
+    cells = _strip_maps(spark, sf).select(F.col("y").alias("gy"), (F.col("x") + 8 * (F.col("tile") % 10)).cast("int").alias("gx"), "value")
+    return cells.groupBy("gy", "gx").agg(F.round(F.max("value"), 6).alias("value"))
+
+
+@query("SELECT round(embedding[1], 6) AS a, round(embedding[64], 6) AS b, count(*) AS n FROM embeddings GROUP BY ALL")
+def npy_roundtrip(spark, sf):
+    """O1.15"""
+    from .sources import tables
+
+    path = _work(spark, "npy")
+    tables.write_npy(_t(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("v")), "v", path)
+    return tables.read_npy(spark, path).groupBy(F.round(F.get("values", 0), 6).alias("a"), F.round(F.get("values", 63), 6).alias("b")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT n_nationkey::INT AS code, n_name AS abbreviation FROM nation")
+def nomenclature_sheet(spark, sf):
+    """O1.16: a class list from a sheet; some dozens of rows."""
+    import io
+    import zipfile
+
+    from .sources import geotiff, tables
+
+    names = [r[0] for r in _t(spark, sf, "nation").orderBy("n_nationkey").select("n_name").collect()]
+    cell = lambda at, v: f'<c r="{at}" t="inlineStr"><is><t>{v}</t></is></c>'
+    rows = "".join(f'<row r="{k}">{cell(f"A{k}", k)}{cell(f"B{k}", v)}</row>' for k, v in enumerate(["Abbreviation", *names], 1))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{rows}</sheetData></worksheet>')
+    folder = _work(spark, "sheet")
+    where, root = geotiff._open(folder)
+    where.create_dir(root, recursive=True)
+    with where.open_output_stream(f"{root}/classes.xlsx") as out:
+        out.write(data.getvalue())
+    return tables.read_nomenclature(spark, f"{folder}/classes.xlsx")
+
+
+@query("SELECT n_regionkey::INT AS gt, " + ", ".join(f"count(*) FILTER (n_nationkey % 5 = {k}) AS c{k}" for k in range(5)) + " FROM nation GROUP BY 1")
+def matrix_sink(spark, sf):
+    """O1.17: a confusion matrix as a file"""
+    from .sources import tables
+
+    pairs = _t(spark, sf, "nation").select(F.col("n_regionkey").alias("gt"), (F.col("n_nationkey") % 5).alias("pred"))
+    path = _work(spark, "matrix")
+    tables.write_matrix(metrics.matrix(metrics.confusion(pairs), list(range(5))), path)
+    return spark.read.option("header", True).csv(path).select(F.col("gt").cast("int").alias("gt"), *(F.col(str(k)).cast("long").alias(f"c{k}") for k in range(5)))
+
+
+@query("SELECT vec_id, true AS same FROM embeddings")
+def model_roundtrip(spark, sf):
+    """O1.18: a forest that was saved and loaded predicts the same"""
+    rows = _vectors(spark, sf)
+    model = ml.random_forest(trees=5, depth=5).fit(rows)
+    path = _work(spark, "model")
+    ml.save(model, path)
+    predicted = lambda m, name: m.transform(rows).select("vec_id", F.col("prediction").alias(name))
+    both = predicted(ml.released(model), "a").join(predicted(ml.load_forest(path), "b"), "vec_id")
+    return both.select("vec_id", (F.col("a") == F.col("b")).alias("same"))
+
+
+@query("SELECT r_name AS class, n_nationkey::VARCHAR || '.txt' AS file, n_name AS content FROM nation JOIN region ON n_regionkey = r_regionkey")
+def image_folders(spark, sf):
+    """O1.19: classes are folders, whatever the files hold"""
+    from .sources import geotiff, tables
+
+    rows = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name").collect()
+    folder = _work(spark, "images")
+    where, root = geotiff._open(folder)
+    for r in rows:
+        where.create_dir(f"{root}/{r['r_name']}", recursive=True)
+        with where.open_output_stream(f"{root}/{r['r_name']}/{r['n_nationkey']}.txt") as out:
+            out.write(r["n_name"].encode())
+    return tables.image_folder(spark, folder).select("class", _file(), F.decode("content", "UTF-8").alias("content"))
+
+
+@query("SELECT n_name || '=' || n_nationkey AS value FROM nation")
+def text_sink(spark, sf):
+    """O1.21"""
+    from .sources import tables
+
+    path = _work(spark, "text")
+    tables.write_text(_t(spark, sf, "nation").select(F.concat("n_name", F.lit("="), F.col("n_nationkey").cast("string")).alias("line")), "line", path)
+    return spark.read.text(path)
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{p}', '{m}')" for p, m in spatial.PAIRS) + ") t(pan, band)")
+def band_pairs(spark, sf):
+    """O5.12"""
+    return spark.createDataFrame(list(spatial.PAIRS), "pan string, band string")
+
+
+@query("SELECT n_nationkey, unnest([n_name, n_regionkey::VARCHAR, 'x']) AS item FROM nation")
+def comma_lists(spark, sf):
+    """O8.4"""
+    text = F.concat_ws(" , ", "n_name", F.col("n_regionkey").cast("string"), F.lit("x "))
+    return _t(spark, sf, "nation").select("n_nationkey", F.explode(C.comma_list(text)).alias("item"))
+
+
+@query("SELECT * FROM (VALUES (false, false, 25::BIGINT), (true, true, 0::BIGINT)) t(confirmed, deleted, rows_left)")
+def clean_up_confirmed(spark, sf):
+    """O8.12: only a confirmed clean-up deletes"""
+    path = _work(spark, "cleanup")
+    _t(spark, sf, "nation").write.parquet(path)
+    out = []
+    for confirmed in (False, True):
+        deleted = jobs.clean_up(spark, path, confirmed)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        left = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+        out.append((confirmed, deleted, spark.read.parquet(path).count() if left else 0))
+    return spark.createDataFrame(out, "confirmed boolean, deleted boolean, rows_left long")
+
+
+@query(f"SELECT tile, (i // 6)::INT AS y, (i % 6)::INT AS x, true AS same FROM (SELECT DISTINCT tile FROM {_RASTER}), generate_series(0, 35) g(i)")
+def registration_shift(spark, sf):
+    """O7.3: images moved by (1, 2) come back onto their base; the border that moved out is lost"""
+    import numpy as np
+    import pyarrow as pa
+
+    def image(tile: int) -> np.ndarray:
+        return np.random.default_rng(tile).normal(size=(8, 8))
+
+    def make(batches):
+        for batch in batches:
+            tiles = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({
+                "tile": batch.column(0), "date": pa.nulls(len(tiles), pa.date32()), "band": ["B2"] * len(tiles), "h": pa.array([8] * len(tiles), pa.int32()), "w": pa.array([8] * len(tiles), pa.int32()),
+                "data": pa.array([np.roll(image(t), (1, 2), (0, 1)).tobytes() for t in tiles], pa.binary()), "base": pa.array([image(t).tobytes() for t in tiles], pa.binary()),
+            })
+
+    made = _raster(spark, sf).select("tile").distinct().mapInArrow(make, "tile long, date date, band string, h int, w int, data binary, base binary")
+    moved = jobs.register_to(made.drop("base"), made.select("tile", "h", "w", F.col("base").alias("data")))
+
+    def compare(batches):
+        for batch in batches:
+            for tile, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                same = np.frombuffer(data.as_buffer(), np.float64).reshape(8, 8)[:6, :6] == image(tile)[:6, :6]
+                y, x = np.divmod(np.arange(36, dtype=np.int32), np.int32(6))
+                yield pa.RecordBatch.from_pydict({"tile": pa.array([tile] * 36), "y": pa.array(y), "x": pa.array(x), "same": pa.array(same.ravel())})
+
+    return moved.select("tile", "data").mapInArrow(compare, "tile long, y int, x int, same boolean")

@@ -1,13 +1,16 @@
 """Rasters as tables.
 
 ``read`` goes through Spark's own file reader, so it works in any store that
-Spark reads; ``geotiff`` is a data source with a partition for each strip of a
-file.  Both give pixel rows; both decode only the strips and bands asked for.
+Spark reads.  ``strips`` and the data source ``geotiff`` (a partition for each
+strip of a file) open files themselves and read byte ranges: the directory, and
+the strips asked for.  All decode only the strips and bands asked for; the driver
+lists files and opens none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from ..functions.columns import normalize
+from ..functions.columns import normalize, spectral_indices
 from . import tiff
 
 PIXEL_ROWS = "path string, band int, description string, y int, x int, value double"
@@ -30,7 +33,7 @@ def strip_bounds(rows: int, parts: int) -> list[tuple[int, int]]:
     return [(k * step, rows if k == parts - 1 else (k + 1) * step) for k in range(parts)]
 
 
-def pixel_batches(path: str, data: bytes, bands: list[int] | None, first: int, last: int, r: tiff.Raster) -> Iterator[pa.RecordBatch]:
+def pixel_batches(path: str, data: bytes | Callable[[int, int], bytes], bands: list[int] | None, first: int, last: int, r: tiff.Raster) -> Iterator[pa.RecordBatch]:
     """Pixel rows, some rows of the raster at a time."""
     step = max(1, 1_000_000 // max(1, r.columns * r.bands))
     for a in range(first, last, step):
@@ -49,18 +52,21 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each raster: size, sample type, place, coordinate system, band descriptions."""
+    """A row for each raster: size, sample type, place, coordinate system, band descriptions. Reads the directories only."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [tiff.header(d.as_buffer().to_pybytes()) for d in batch.column(1)]
+            found = []
+            for name in batch.column(0).to_pylist():
+                with ranges(name) as read:
+                    found.append(tiff.header(read))
             geo = np.array([r.geo for r in found], float).reshape(-1, 6)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), *(pa.array([getattr(r, c) for r in found], pa.int32()) for c in ("columns", "rows", "bands")), pa.array([r.dtype for r in found], pa.string()),
                 *(pa.array(geo[:, k]) for k in range(6)), pa.array([r.crs for r in found], pa.string()), pa.array([r.descriptions for r in found], pa.list_(pa.string())),
             ], names=[c.split()[0] for c in META.split(", ")])
 
-    return _files(spark, path).select("path", "content").mapInArrow(scan, META)
+    return _files(spark, path).select("path").mapInArrow(scan, META)
 
 
 def read(spark: SparkSession, path: str, descriptions: list[str] | None = None) -> DataFrame:
@@ -78,16 +84,44 @@ def read(spark: SparkSession, path: str, descriptions: list[str] | None = None)
     return _files(spark, path).select("path", "content").mapInArrow(scan, PIXEL_ROWS)
 
 
-def read_normalized(spark: SparkSession, path: str, descriptions: list[str], scale: float = 10000.0) -> DataFrame:
-    """A column for each described band, scaled and clipped to [0, 1]; a band that a raster lacks is 0."""
-    rows = read(spark, path, descriptions)
-    wide = rows.groupBy("path", "y", "x").pivot("description", descriptions).agg(F.first("value"))
-    return wide.select("path", "y", "x", *(F.coalesce(normalize(F.col(d), scale), F.lit(0.0)).alias(d) for d in descriptions))
+def read_normalized(spark: SparkSession, path: str, descriptions: list[str], scale: float = 10000.0, parts: int = 1, indices: tuple[str, ...] = ()) -> DataFrame:
+    """path, strip, y, x and a column for each described band, scaled and clipped to [0, 1]; a band that a raster lacks is 0."""
+    wide = strips(spark, path, descriptions, parts)
+    wide = wide.select("path", "strip", "y", "x", *(F.coalesce(normalize(F.col(d), scale), F.lit(0.0)).alias(d) for d in descriptions))
+    return wide.withColumns(spectral_indices(indices)) if indices else wide
+
+
+def strips(spark: SparkSession, path: str, descriptions: list[str], parts: int = 1) -> DataFrame:
+    """path, strip, y, x and a column for each described band (NULL: the raster lacks it): a task for a strip, which reads the bytes of its rows, without a shuffle of pixels."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with ranges(name) as read:
+                    r = tiff.header(read)
+                    bounds = strip_bounds(r.rows, parts)
+                    if k >= len(bounds):
+                        continue
+                    has = [d for d in descriptions if d in r.descriptions]
+                    step = max(1, 1_000_000 // max(1, r.columns * max(1, len(has))))
+                    for a in range(*bounds[k], step):
+                        b = min(bounds[k][1], a + step)
+                        values = dict(zip(has, tiff.read_rows(read, r, a, b, [r.descriptions.index(d) for d in has]))) if has else {}
+                        n = (b - a) * r.columns
+                        y, x = np.divmod(np.arange(n, dtype=np.int32), np.int32(r.columns))
+                        columns = [pa.array(values[d].reshape(-1).astype(np.float64)) if d in values else pa.nulls(n, pa.float64()) for d in descriptions]
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(np.full(n, k, np.int32)), pa.array(y + np.int32(a)), pa.array(x), *columns], names=["path", "strip", "y", "x", *descriptions])
+
+    each = _files(spark, path).select("path", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("strip"))
+    schema = StructType.fromDDL("path string, strip int, y int, x int")
+    for d in descriptions:
+        schema = schema.add(d, "double")
+    return each.repartition("path", "strip").mapInArrow(scan, schema)
 
 
 class Strip(InputPartition):
-    def __init__(self, path: str, first: int, last: int):
-        self.path, self.first, self.last = path, first, last
+    def __init__(self, path: str, k: int):
+        self.path, self.k = path, k
 
 
 def _open(path: str):
@@ -96,10 +130,17 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def _bytes(path: str) -> bytes:
+@contextmanager
+def ranges(path: str) -> Iterator[Callable[[int, int], bytes]]:
+    """read(place, length) of an open file."""
     where, name = _open(path)
     with where.open_input_file(name) as f:
-        return f.read()
+
+        def read(at: int, n: int) -> bytes:
+            f.seek(at)
+            return f.read(n)
+
+        yield read
 
 
 class GeoTiffSource(DataSource):
@@ -132,15 +173,17 @@ class GeoTiffReader(DataSourceReader):
         strips = int(self.options.get("strips", 1))
         out = []
         for f in sorted((f for f in found if f.path.endswith(".tif")), key=lambda f: f.path):
-            out += [Strip(f.path, a, b) for a, b in strip_bounds(tiff.header(_bytes(f.path)).rows, strips)]
+            out += [Strip(f.path, k) for k in range(strips)]  # a task learns from the file's directory which rows these are
         return out
 
     def read(self, partition: Strip) -> Iterator[pa.RecordBatch]:
-        data = _bytes(partition.path)
         wanted = self.options.get("bands")
-        r = tiff.header(data)
-        bands = [k for k, d in enumerate(r.descriptions) if d in wanted.split(",")] if wanted else None
-        yield from pixel_batches(partition.path, data, bands, partition.first, partition.last, r)
+        with ranges(partition.path) as read:
+            r = tiff.header(read)
+            bands = [k for k, d in enumerate(r.descriptions) if d in wanted.split(",")] if wanted else None
+            bounds = strip_bounds(r.rows, int(self.options.get("strips", 1)))
+            if partition.k < len(bounds):
+                yield from pixel_batches(partition.path, read, bands, *bounds[partition.k], r)
 
 
 class GeoTiffWriter(DataSourceWriter):

@@ -33,6 +33,26 @@ def read_npy(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInArrow(scan, "path string, row long, values array<double>")
 
 
+def write_npy(rows: DataFrame, column: str, path: str) -> None:
+    """A column of equally long arrays as .npy matrices under path, one for each partition that has rows."""
+    from .geotiff import _open
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        held = [np.array(batch.column(0).to_pylist()) for batch in batches if batch.num_rows]
+        if held:
+            where, root = _open(path)
+            where.create_dir(root, recursive=True)
+            data = io.BytesIO()
+            np.save(data, np.concatenate(held))
+            with where.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():06d}.npy") as out:
+                out.write(data.getvalue())
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([sum(map(len, held))])})
+
+    rows.select(column).mapInArrow(put, "rows long").agg(F.sum("rows")).collect()
+
+
 def write_features(rows: DataFrame, path: str) -> None:
     """Feature tables: Parquet by tile and split."""
     rows.write.mode("overwrite").partitionBy("tile", "split").parquet(path)

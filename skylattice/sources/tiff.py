@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from xml.sax.saxutils import escape, unescape
 
@@ -44,22 +45,28 @@ class Raster:
     counts: list[int] = field(default_factory=list)
 
 
-def header(data: bytes) -> Raster:
-    """The metadata of a file; no pixel is looked at."""
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
+def reader(data: bytes | Callable[[int, int], bytes]) -> Callable[[int, int], bytes]:
+    """read(place, length) over bytes, or a function that reads so from a file."""
+    return data if callable(data) else lambda at, n: data[at : at + n]
+
+
+def header(data: bytes | Callable[[int, int], bytes]) -> Raster:
+    """The metadata of a file, of which only the bytes of the directory are read."""
+    read = reader(data)
+    start = read(0, 8)
+    order = {b"II": "<", b"MM": ">"}.get(start[:2])
+    if order is None or struct.unpack_from(order + "H", start, 2)[0] != 42:
         raise ValueError("not a baseline TIFF file")
-    at = struct.unpack_from(order + "I", data, 4)[0]
+    at = struct.unpack_from(order + "I", start, 4)[0]
+    entries = read(at + 2, 12 * struct.unpack(order + "H", read(at, 2))[0])
     tags: dict[int, object] = {}
-    for k in range(struct.unpack_from(order + "H", data, at)[0]):
-        tag, kind, n = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
+    for k in range(len(entries) // 12):
+        tag, kind, n = struct.unpack_from(order + "HHI", entries, 12 * k)
         if kind not in FIELD:
             continue
         size, code = FIELD[kind]
-        where = at + 10 + 12 * k
-        if size * n > 4:
-            where = struct.unpack_from(order + "I", data, where)[0]
-        tags[tag] = data[where : where + n].rstrip(b"\0").decode("utf-8", "replace") if code == "s" else list(struct.unpack_from(f"{order}{n}{code}", data, where))
+        raw = entries[12 * k + 8 : 12 * k + 12] if size * n <= 4 else read(struct.unpack_from(order + "I", entries, 12 * k + 8)[0], size * n)
+        tags[tag] = raw[:n].rstrip(b"\0").decode("utf-8", "replace") if code == "s" else list(struct.unpack_from(f"{order}{n}{code}", raw))
     one = lambda tag, default: tags.get(tag, [default])[0]
     bits, form = one(BITS, 1), one(FORMAT, 1)
     dtype = next((d for d, x in SAMPLE.items() if x == (form, bits)), None)
@@ -75,8 +82,9 @@ def header(data: bytes) -> Raster:
     return Raster(one(WIDTH, 0), one(HEIGHT, 0), bands, dtype, geo, str(tags.get(CRS_TEXT, "")).rstrip("|"), [names.get(k, "") for k in range(bands)], float(nodata) if nodata else None, order, one(COMPRESSION, 1), one(PLANAR, 1), min(one(ROWS, 1 << 30), one(HEIGHT, 0)), tags[OFFSETS], tags[COUNTS])
 
 
-def read_rows(data: bytes, r: Raster, first: int, last: int, bands: list[int] | None = None) -> np.ndarray:
-    """Rows first to last (not included) as bands x rows x columns: only the strips that hold them are unpacked."""
+def read_rows(data: bytes | Callable[[int, int], bytes], r: Raster, first: int, last: int, bands: list[int] | None = None) -> np.ndarray:
+    """Rows first to last (not included) as bands x rows x columns: only the strips that hold them are read and unpacked."""
+    read = reader(data)
     if r.compression not in (1, 8, 32946):
         raise ValueError(f"compression {r.compression} is not supported")
     wanted = list(range(r.bands)) if bands is None else bands
@@ -89,7 +97,7 @@ def read_rows(data: bytes, r: Raster, first: int, last: int, bands: list[int] |
         a, b = max(first, top), min(last, top + n)
 
         def strip(k: int) -> np.ndarray:
-            raw = data[r.offsets[k] : r.offsets[k] + r.counts[k]]
+            raw = read(r.offsets[k], r.counts[k])
             return np.frombuffer(raw if r.compression == 1 else zlib.decompress(raw), kind)
 
         if r.planar == 1:

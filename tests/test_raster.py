@@ -2,9 +2,11 @@
 
 import datetime
 import io
+import re
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from skylattice.functions import columns as C
@@ -262,3 +264,45 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(r["day"].day, r["n"]) for r in spark.sql("select * from daily").collect()} == {(1, 2), (2, 1), (9, 1)}
+
+
+def test_natural_key(spark):
+    names = ["S2_9_2", "S2_10_1", "S2_9_10", "a", "", "10", "9", "S2_9", "a007b2", "a7b10", "x99999999999999999999999"]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(*C.natural_key(F.col("n"))).collect()]
+    key = lambda n: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", n)]
+    assert got == sorted(names, key=key)
+
+
+def test_forest_after_an_observation(spark):
+    """A forest fresh from training scores although the session has something in it that no task can take."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    rows = spark.range(60).select((F.col("id") % 3).cast("int").alias("label"), (F.col("id") % 2 == 0).alias("sea"), "id", array_to_vector(F.array((F.col("id") % 3).cast("double"), F.lit(1.0))).alias("features"))
+    assert ml.predict_map(ml.random_forest(trees=3, depth=3).fit(rows), rows, ["id"], sea="sea").count() == 60
+
+
+def test_ranged_reads(spark, tmp_path):
+    """Strips, headers and normalised reads against the arrays; no read takes the whole file."""
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 20_000, (2, 301, 40)).astype(np.uint16)
+    data = tiff.write(a, descriptions=["B4", "B8"])
+    (tmp_path / "one.tif").write_bytes(data)
+    taken = []
+    read = lambda at, n: taken.append(n) or data[at : at + n]
+    r = tiff.header(read)
+    assert sum(taken) < 2_000 and np.array_equal(tiff.read_rows(read, r, 100, 120), a[:, 100:120])
+    rows = geotiff.strips(spark, str(tmp_path), ["B8", "B11"], 7).collect()
+    assert len(rows) == 301 * 40 and all(x["B8"] == a[1, x["y"], x["x"]] and x["B11"] is None and x["strip"] == min(x["y"] // 43, 6) for x in rows)
+    fused = geotiff.read_normalized(spark, str(tmp_path), ["B4", "B8"], parts=7, indices=("NDVI",)).where("y = 200 and x = 3").head()
+    b4, b8 = (min(1.0, v / 10000) for v in a[:, 200, 3].tolist())
+    assert abs(fused["NDVI"] - ((b8 - b4) / (b8 + b4) + 1) / 2) < 1e-9
+
+
+def test_aligned():
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(20, 30))
+    got = jobs.aligned(base, np.roll(base, (-3, 5), (0, 1)))
+    assert np.array_equal(got[3:, :-5], base[3:, :-5]) and np.isnan(got[:3]).all() and np.isnan(got[:, -5:]).all()
