@@ -131,6 +131,7 @@ def totals(table: DataFrame, answer: Callable[..., tuple[list[np.ndarray], bytes
     if buckets <= FAN:
         return table.groupBy("bucket").applyInArrow(add_up, MESSAGE)
     parts = -(-buckets // FAN)
+    table = storage.save(table, f"{folder}/sent")  # read three times
     size = table.agg(F.sum(F.octet_length("data")).alias("b")).head()["b"] or 0
     groups = max(1, -(-size // (FAN * MERGE_BYTES)))
     table = table.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)))

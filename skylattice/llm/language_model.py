@@ -163,14 +163,18 @@ def score(documents: DataFrame) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.blocks(batches, "text", exchange.BLOCK_BYTES):
-            block, name = Block.of(batch), uuid.uuid4().hex
-            out = [(0, -1, block.dump()), *((1, b, d) for b, d in exchange.sends(*block.counts(), fan))]
-            yield pa.RecordBatch.from_pydict({"kind": pa.array([x[0] for x in out], pa.int32()), "block": [name] * len(out), "bucket": pa.array([x[1] for x in out], pa.int32()), "data": pa.array([x[2] for x in out], pa.binary())})
-
-    table = storage.save(rows.mapInArrow(make, exchange.SCHEMA), f"{folder}/blocks", "kind")
-    replies = storage.save(exchange.totals(table.where("kind = 1"), _answer, [np.uint64, np.uint64], buckets, folder), f"{folder}/totals")
-    storage.drop(spark, f"{folder}/blocks/kind=1")
-    blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
+            yield pa.RecordBatch.from_pydict({"block": pa.array([uuid.uuid4().hex]), "data": pa.array([Block.of(batch).dump()], pa.binary())})
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for b, d in exchange.sends(*Block.load(data.as_buffer().to_pybytes()).counts(), fan):
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([name]), "bucket": pa.array([b], pa.int32()), "data": pa.array([d], pa.binary())})
+
+    # what blocks send goes straight into the shuffle: a lost task reads its blocks, and their names, again
+    blocks = storage.save(rows.mapInArrow(make, "block string, data binary"), f"{folder}/blocks")
+    sent = blocks.mapInArrow(send, exchange.MESSAGE)
+    replies = storage.save(exchange.totals(sent, _answer, [np.uint64, np.uint64], buckets, folder), f"{folder}/totals")
     notes = replies.where("block = ''").select("data")
     found = np.array([np.frombuffer(r["data"], np.int64) for r in notes.toLocalIterator()], np.int64).reshape(-1, 3).sum(0)  # one small row a bucket
     v, n, n_apart = map(int, found)
