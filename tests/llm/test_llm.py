@@ -224,6 +224,25 @@ def test_packing(spark):
     assert packing.pack(documents(spark, [])).count() == 0
 
 
+def clashing(docs):
+    """Every row twice, with columns named like those that the operators make."""
+    return docs.unionAll(docs).withColumns({c: F.lit("clash") for c in ("length", "rank", "salt", "score", "start", "piece", "partition", "part", "file", "base", "before", "x", "n", "v", "k")})
+
+
+def test_packing_of_repeated_rows(spark):
+    texts = odd_texts(random.Random(4), 30)
+    docs = documents(spark, texts, [None, *[7] * (len(texts) - 1)])
+    piece = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
+    once = collections.Counter(map(piece, packing.pack(docs, 128).collect()))
+    rows = packing.pack(clashing(docs), 128).collect()
+    assert collections.Counter(map(piece, rows)) == collections.Counter({k: 2 * n for k, n in once.items()})
+    at = collections.Counter()
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at[r["sequence_id"]]
+        at[r["sequence_id"]] += r["length"]
+    assert max(at.values()) <= 128
+
+
 def brute_contamination(texts, items, window):
     windows = collections.defaultdict(set)
     for i, t in items:
@@ -531,6 +550,24 @@ def test_language_model(spark, monkeypatch, fan):
     assert all(math.isfinite(r["score"]) and r["train_tokens"] == 0 for r in language_model.score(only_held_out).collect())
 
 
+def test_language_model_of_repeated_rows(spark):
+    texts = odd_texts(random.Random(12), 30)
+    ids = ids_for(texts)
+    got = language_model.score(clashing(documents(spark, texts, ids))).collect()
+    counts = collections.Counter()
+    tokens_of = {i: [*SPACE_WORDS.findall(lower(t)), None] for i, t in zip(ids, texts)}
+    for i, t in tokens_of.items():
+        if language_model.fold_of(i) != 2:
+            counts.update(t * 2)
+    n, v = sum(counts.values()), len(counts)
+    assert collections.Counter(r["doc_id"] for r in got) == collections.Counter({i: 2 for i in ids})
+    for r in got:
+        t = tokens_of[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(t), sum(counts[x] > 0 for x in t), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t), rel=1e-9)
+        assert math.isfinite(r["score"]) and r["score"] < 0
+
+
 def test_quality_classifier(spark):
     rng = random.Random(13)
     good = [" ".join(rng.choice(["the", "cat", "sat", "on", "mats", "with", "joy."]) for _ in range(60)) for _ in range(300)]
@@ -653,6 +690,18 @@ def test_token_output(spark):
     assert token_output.token_output(documents(spark, [])).count() == 0
 
 
+def test_token_output_of_repeated_rows(spark):
+    texts = odd_texts(random.Random(20), 30)
+    docs = documents(spark, texts, [None, *[7] * 10, *range(20, 20 + len(texts) - 11)])
+    row = lambda r: (r["doc_id"], r["n_tokens"], r["ids_crc32"])
+    once = collections.Counter(map(row, token_output.token_output(docs).collect()))
+    rows = sorted(token_output.token_output(clashing(docs)).collect(), key=lambda r: r["start"])
+    assert collections.Counter(map(row, rows)) == collections.Counter({k: 2 * n for k, n in once.items()})
+    assert [r["start"] for r in rows] == [0, *itertools.accumulate(r["n_tokens"] for r in rows[:-1])]
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in rows]
+    assert ids == sorted(ids)
+
+
 @pytest.mark.parametrize("bits", [1, 7, 13, 16, 17, 20, 32])
 def test_bit_packing(bits):
     rng = np.random.default_rng(bits)

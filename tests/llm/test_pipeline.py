@@ -46,3 +46,16 @@ def test_stages(spark, tmp_path):
     assert seen[4] == seen[3]
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == seen[4]
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_empty_tables(spark, tmp_path):
+    """No document; and documents without labels, benchmark items, texts or ids."""
+    schemas = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    for name, schema in schemas.items():
+        for kind in ("none", "some"):
+            spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{kind}/{name}.parquet")
+    rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, "a b c", "en", "s", 5), (2, "a b c", "en", "s", 5), (3, "A B C", None, None, None)]
+    spark.createDataFrame(rows, schemas["documents"]).write.mode("overwrite").parquet(f"{tmp_path}/some/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    got = [r["doc_id"] for r in corpus_pipeline.run(spark, f"{tmp_path}/some").collect()]
+    assert got.count(2) == 1 and len(got) == len(set(got)) and set(got) <= {None, 1, 2, 3}
