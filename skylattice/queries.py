@@ -470,6 +470,19 @@ def mosaic_max_prob(spark, sf):
     return spatial.mosaic(a.unionByName(b), ["cell"], part.select("cell"))
 
 
+_WHOLE_ZONES = """(SELECT p_partkey AS cell, p_size % 5 AS class, p_size AS prob, 0 AS rk FROM part UNION ALL SELECT p_partkey, (p_size + 1) % 5, (p_partkey % 50 + 1)::INT, 1 FROM part)"""
+
+
+@query(f"""WITH r AS (SELECT cell, class, prob, row_number() OVER (PARTITION BY cell ORDER BY prob DESC, rk) AS k FROM {_WHOLE_ZONES} WHERE class <> 0 AND prob > 0)
+SELECT p_partkey AS cell, coalesce(class, 0)::INT AS class, coalesce(prob, 0)::INT AS prob FROM part LEFT JOIN r ON cell = p_partkey AND k = 1""")
+def mosaic_overlap(spark, sf):
+    """O5.14: two maps that both cover the whole table."""
+    part = _t(spark, sf, "part").withColumnRenamed("p_partkey", "cell")
+    a = part.select("cell", (F.col("p_size") % 5).alias("class"), F.col("p_size").alias("prob"), F.lit(0).alias("source_rank"))
+    b = part.select("cell", ((F.col("p_size") + 1) % 5).alias("class"), (F.col("cell") % 50 + 1).cast("int").alias("prob"), F.lit(1).alias("source_rank"))
+    return spatial.mosaic(a.unionByName(b), ["cell"], part.select("cell"))
+
+
 _BOUNDS = "(SELECT n_regionkey AS zone, 300000.0 + n_nationkey * 1003 AS west, 4000000.0 + n_nationkey * 517 AS south, 300000.0 + n_nationkey * 1003 + 109805 AS east, 4000000.0 + n_nationkey * 517 + 109805 AS north FROM nation)"
 
 
@@ -524,6 +537,15 @@ def mask_fallback(spark, sf):
     return catalog.with_fallback_mask(tiles, masks, ["5", "6"]).select(F.col("y").alias("c_custkey"), "flag")
 
 
+@query("""SELECT c_custkey, CASE WHEN n_regionkey <> 3 AND c_acctbal < 0 THEN 1 ELSE 0 END AS flag FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def mask_fallback_region(spark, sf):
+    """O2.11, O3.3 over all customers: the nations of one region have no mask and may lack it."""
+    rows = _t(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("tile"), F.col("c_custkey").alias("y"), F.lit(0).alias("x"), "c_acctbal")
+    without = [str(r["n_nationkey"]) for r in _t(spark, sf, "nation").where("n_regionkey = 3").select("n_nationkey").collect()]
+    masks = rows.where(~F.col("tile").isin(*without)).withColumn("flag", F.when(F.col("c_acctbal") < 0, 1).otherwise(0)).drop("c_acctbal")
+    return catalog.with_fallback_mask(rows.drop("c_acctbal"), masks, without).select(F.col("y").alias("c_custkey"), "flag")
+
+
 # --- maps and metrics ------------------------------------------------------------
 
 
@@ -621,6 +643,13 @@ def label_symdiff(spark, sf):
     return metrics.label_sets(part.where("p_partkey % 40 = 0"), part.where("p_partkey % 40 = 1"), "p_brand")
 
 
+@query("""WITH a AS (SELECT DISTINCT c_custkey AS custkey FROM customer), b AS (SELECT DISTINCT o_custkey AS custkey FROM orders)
+SELECT custkey, 'left' AS side FROM a WHERE custkey NOT IN (SELECT custkey FROM b) UNION ALL SELECT custkey, 'right' FROM b WHERE custkey NOT IN (SELECT custkey FROM a)""")
+def label_symdiff_tables(spark, sf):
+    """O7.2 over two whole tables."""
+    return metrics.label_sets(_t(spark, sf, "customer").select(F.col("c_custkey").alias("custkey")), _t(spark, sf, "orders").select(F.col("o_custkey").alias("custkey")), "custkey")
+
+
 @query("SELECT vec_id, label, CASE WHEN vec_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM embeddings")
 def vstack_union(spark, sf):
     """O7.1"""
