@@ -643,11 +643,12 @@ def label_symdiff(spark, sf):
     return metrics.label_sets(part.where("p_partkey % 40 = 0"), part.where("p_partkey % 40 = 1"), "p_brand")
 
 
-@query("""WITH a AS (SELECT DISTINCT c_custkey AS custkey FROM customer), b AS (SELECT DISTINCT o_custkey AS custkey FROM orders)
-SELECT custkey, 'left' AS side FROM a WHERE custkey NOT IN (SELECT custkey FROM b) UNION ALL SELECT custkey, 'right' FROM b WHERE custkey NOT IN (SELECT custkey FROM a)""")
+@query("""WITH a AS (SELECT DISTINCT trunc(c_acctbal)::BIGINT AS amount FROM customer), b AS (SELECT DISTINCT trunc(o_totalprice)::BIGINT AS amount FROM orders)
+SELECT amount, 'left' AS side FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.amount = a.amount) UNION ALL SELECT amount, 'right' FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.amount = b.amount)""")
 def label_symdiff_tables(spark, sf):
     """O7.2 over two whole tables."""
-    return metrics.label_sets(_t(spark, sf, "customer").select(F.col("c_custkey").alias("custkey")), _t(spark, sf, "orders").select(F.col("o_custkey").alias("custkey")), "custkey")
+    amounts = lambda table, column: _t(spark, sf, table).select(F.col(column).cast("long").alias("amount"))
+    return metrics.label_sets(amounts("customer", "c_acctbal"), amounts("orders", "o_totalprice"), "amount")
 
 
 @query("SELECT vec_id, label, CASE WHEN vec_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM embeddings")
