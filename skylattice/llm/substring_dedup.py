@@ -236,13 +236,16 @@ def repeats(documents: DataFrame, window: int, folder: str) -> DataFrame:
     replies = storage.save(exchange.totals(table.where("kind = 1"), answer, [np.uint8], buckets, folder), f"{folder}/totals")
     storage.drop(spark, f"{folder}/blocks/kind=1")
     blocks = spark.read.schema(exchange.SCHEMA).parquet(f"{folder}/blocks").where("kind = 0")
-    both = exchange.answered(blocks, replies)
+    # written, so that the blocks and the join's shuffle are gone before the classes are dealt
+    both = storage.save(exchange.answered(blocks, replies), f"{folder}/answered")
+    storage.drop(spark, f"{folder}/blocks")
+    storage.drop(spark, f"{folder}/totals")
     made = both.mapInArrow(classes, "kind int, key long, content long, doc_id long, tag long, lo long, hi long, words binary")
     # intervals that need no search travel with the classes, by their document
     shard = F.pmod(F.when(F.col("kind") == 1, F.xxhash64("key")).otherwise(F.xxhash64("doc_id")), F.lit(shards))
     dealt = made.select(shard.alias("shard"), "kind", "content", "doc_id", "tag", "lo", "hi", "words")
     spans = storage.save(dealt.groupBy("shard").applyInArrow(lambda group: search_shard(group, window), SPANS), f"{folder}/spans")
-    storage.drop(spark, f"{folder}/blocks")
+    storage.drop(spark, f"{folder}/answered")
     return spans
 
 
