@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import catalog, features, merge, metrics, ml, spatial, temporal
 from ..schema import BANDS_10M, BANDS_20M, NODATA
+from . import jobs
 
 
 def virtual_dates(pixels: DataFrame, clouds: DataFrame, sea: DataFrame, start: str, output_start: str, output_end: str, interval: int, bands: tuple[str, ...] = BANDS_10M, min_obs: int | None = None, compat: bool = False) -> DataFrame:
@@ -84,6 +88,34 @@ def mosaic(maps: DataFrame, rank: Column, west: float = 300000.0, north: float =
     return spatial.mosaic(cells, ["gx", "gy"])
 
 
+#: Folders of a table of strips, whatever the number of strips, and their column.
+STRIP_FOLDERS, STRIP_FOLDER = 64, "strip_folder"
+
+
 def write_strips(rows: DataFrame, path: str, keys: tuple[str, ...] = ("tile", "strip")) -> None:
-    """Replaces the strips that rows has and no others."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    """Replaces the strips that rows has and no others; one writer at a time.
+
+    Strips are dealt to a bounded number of folders by the hash of their keys, so
+    the number of files does not grow with that of the strips.  Folders that rows
+    has strips of are written anew, with what they held of other strips.
+    """
+    spark = rows.sparkSession
+    where = F.pmod(F.hash(*keys), F.lit(STRIP_FOLDERS)).alias(STRIP_FOLDER)
+    put = lambda df: df.hint("rebalance", F.col(STRIP_FOLDER)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STRIP_FOLDER).parquet(path)
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "*=*")
+    if not made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(made):
+        put(rows.select("*", where))
+        return
+    old = spark.read.parquet(path)
+    if dict(old.dtypes) != dict([*rows.dtypes, (STRIP_FOLDER, "int")]):
+        raise ValueError(f"the table has the columns {old.dtypes}, the new strips have {rows.dtypes}")
+    staged = f"{path.rstrip('/')}/_new"  # rows are made once; a name that readers of the table pass over
+    rows.select("*", where).write.mode("overwrite").parquet(staged)
+    try:
+        new = spark.read.parquet(staged)
+        strips = new.select(STRIP_FOLDER, *keys).distinct()
+        same = reduce(and_, (old[k].eqNullSafe(strips[k]) for k in (STRIP_FOLDER, *keys)))
+        touched = [r[0] for r in new.select(STRIP_FOLDER).distinct().collect()]
+        put(old.where(F.col(STRIP_FOLDER).isin(touched)).join(strips, same, "left_anti").unionByName(new))
+    finally:
+        jobs.clean_up(spark, staged, confirmed=True)

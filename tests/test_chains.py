@@ -77,3 +77,24 @@ def test_write_strips(spark, tmp_path):
     chains.write_strips(frame(1, [0, 1, 2]), path)
     chains.write_strips(frame(2, [1]), path)
     assert {r["strip"]: r["v"] for r in spark.read.parquet(path).collect()} == {0: 1, 1: 2, 2: 1}
+
+
+def test_write_strips_folders(spark, tmp_path):
+    """Many small strips share a bounded number of folders; strips that are not replaced stay, whichever folder they share."""
+    path = str(tmp_path / "map")
+    cells = spark.range(400).select(F.expr("nullif(id, 7)").alias("tile"), F.explode(F.array(*map(F.lit, range(3)))).alias("strip"), (F.col("id") % 5).cast("double").alias("v"))
+    chains.write_strips(cells, path)
+    chains.write_strips(cells.where("strip = 1 AND (tile % 2 = 1 OR tile IS NULL)").withColumn("v", F.col("v") + 10).limit(150), path)
+    chains.write_strips(cells.where("tile = 3").limit(0), path)
+    back = spark.read.parquet(path)
+    assert len([p for p in (tmp_path / "map").iterdir() if p.is_dir()]) <= chains.STRIP_FOLDERS and dict(back.dtypes)["tile"] == "bigint"
+    rows = [(r["tile"], r["strip"], r["v"]) for r in back.collect()]
+    assert len(rows) == len({r[:2] for r in rows}) == 1200
+    changed = [r for r in rows if r[2] >= 10]
+    assert len(changed) == 150 and all(s == 1 and (t is None or t % 2) for t, s, _ in changed)
+    assert all(v % 10 == (7 if t is None else t) % 5 for t, _, v in rows)
+    own = spark.read.parquet(path).where("strip = 2").drop(chains.STRIP_FOLDER).withColumn("v", F.lit(-1.0))
+    chains.write_strips(own, path)  # rows that are read from the table itself
+    assert spark.read.parquet(path).groupBy("strip").agg(F.min("v"), F.max("v"), F.count("*")).where("strip = 2").head()[1:] == (-1.0, -1.0, 400)
+    with pytest.raises(ValueError):
+        chains.write_strips(cells.withColumn("v", F.col("v").cast("int")), path)
