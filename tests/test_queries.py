@@ -40,3 +40,20 @@ def test_query(spark, duck, name):
         assert got == rows(res.columns, res.fetchall())
     else:
         assert got[1]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
+def test_mosaic_of_many_strips(spark, duck):
+    """The strips of all tiles go into a bounded number of folders, and the mosaic is that of the SQL."""
+    from pathlib import Path
+
+    from skylattice.plans import chains
+
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(base.glob("strips-*"))
+    df = QUERIES["strips_to_mosaic"](spark, SF)
+    got = rows(df.columns, [tuple(r) for r in df.collect()])
+    (made,) = set(base.glob("strips-*")) - before
+    assert sum(p.is_dir() for p in made.rglob("*")) <= chains.STRIP_FOLDERS
+    res = duck.sql(ORACLE_SQL["strips_to_mosaic"])
+    assert got == rows(res.columns, res.fetchall()) and len(got[1]) == 640
