@@ -1,9 +1,9 @@
 """Rasters as tables.
 
 ``read`` goes through Spark's own file reader, so it works in any store that
-Spark reads.  ``strips`` and the data source ``geotiff`` (a partition for each
-strip of a file) open files themselves and read byte ranges: the directory, and
-the strips asked for.  All decode only the strips and bands asked for; the driver
+Spark reads.  ``strips`` and the data source ``geotiff`` (a partition for a
+strip of a file, or for many strips if they are small) open files themselves and
+read byte ranges: the directory, and the strips asked for.  All decode only the strips and bands asked for; the driver
 lists files and opens none.
 """
 
@@ -119,9 +119,48 @@ def strips(spark: SparkSession, path: str, descriptions: list[str], parts: int =
     return each.repartition("path", "strip").mapInArrow(scan, schema)
 
 
-class Strip(InputPartition):
-    def __init__(self, path: str, k: int):
-        self.path, self.k = path, k
+class Strips(InputPartition):
+    """Runs of strips: a file, the first strip and the last (not included)."""
+
+    def __init__(self, runs: list[tuple[str, int, int]]):
+        self.runs = runs
+
+
+#: Bytes of the strips of a partition, what it takes to open a file in such bytes, and the number of partitions up to which each strip has its own.
+PACK_BYTES, OPEN_BYTES, PACKS = 16 << 20, 16 << 10, 64
+
+
+def packed(files: list[tuple[str, int]], strips: int) -> list[list[tuple[str, int, int]]]:
+    """All strips of files (path, bytes) in their order, as runs of bounded bytes; a strip is not cut."""
+    most = min(PACK_BYTES, sum(n + OPEN_BYTES for _, n in files) / PACKS)
+    out: list[list[tuple[str, int, int]]] = []
+    room = 0.0
+    for path, n in files:
+        each = (n + OPEN_BYTES) / strips
+        k = 0
+        while k < strips:
+            if room < each:
+                out.append([])
+                room = max(most, each)
+            taken = min(strips - k, int(room / each))
+            out[-1].append((path, k, k + taken))
+            room -= taken * each
+            k += taken
+    return out
+
+
+def whole(batches: Iterator[pa.RecordBatch], least: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """The rows of small batches in batches of some size."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _open(path: str):
@@ -164,26 +203,27 @@ class GeoTiffReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
-    def partitions(self) -> list[Strip]:
+    def partitions(self) -> list[Strips]:
         from pyarrow import fs
 
         where, name = _open(self.options["path"])
         info = where.get_file_info(name)
         found = [info] if info.type == fs.FileType.File else where.get_file_info(fs.FileSelector(name, recursive=True))
-        strips = int(self.options.get("strips", 1))
-        out = []
-        for f in sorted((f for f in found if f.path.endswith(".tif")), key=lambda f: f.path):
-            out += [Strip(f.path, k) for k in range(strips)]  # a task learns from the file's directory which rows these are
-        return out
+        files = sorted((f.path, f.size) for f in found if f.path.endswith(".tif"))
+        return [Strips(runs) for runs in packed(files, int(self.options.get("strips", 1)))]  # a task learns from the file's directory which rows these are
+
+    def read(self, partition: Strips) -> Iterator[pa.RecordBatch]:
+        return whole(batch for run in partition.runs for batch in self.pixels(*run))
 
-    def read(self, partition: Strip) -> Iterator[pa.RecordBatch]:
+    def pixels(self, path: str, first: int, last: int) -> Iterator[pa.RecordBatch]:
+        """The rows of strips that follow each other."""
         wanted = self.options.get("bands")
-        with ranges(partition.path) as read:
+        with ranges(path) as read:
             r = tiff.header(read)
             bands = [k for k, d in enumerate(r.descriptions) if d in wanted.split(",")] if wanted else None
-            bounds = strip_bounds(r.rows, int(self.options.get("strips", 1)))
-            if partition.k < len(bounds):
-                yield from pixel_batches(partition.path, read, bands, *bounds[partition.k], r)
+            bounds = strip_bounds(r.rows, int(self.options.get("strips", 1)))[first:last]
+            if bounds:
+                yield from pixel_batches(path, read, bands, bounds[0][0], bounds[-1][1], r)
 
 
 class GeoTiffWriter(DataSourceWriter):

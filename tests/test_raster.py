@@ -306,3 +306,21 @@ def test_aligned():
     base = rng.normal(size=(20, 30))
     got = jobs.aligned(base, np.roll(base, (-3, 5), (0, 1)))
     assert np.array_equal(got[3:, :-5], base[3:, :-5]) and np.isnan(got[:3]).all() and np.isnan(got[:, -5:]).all()
+
+
+def test_small_strips_share_partitions(spark, tmp_path):
+    """A task for each strip of thousands of small files never ends; all pixels come, also of files with fewer rows than strips."""
+    rng = np.random.default_rng(5)
+    made = {f"f{k:03}.tif": rng.normal(size=(2, 1 + k % 9, 2 + k % 3)) for k in range(250)}
+    for name, a in made.items():
+        (tmp_path / name).write_bytes(tiff.write(a, descriptions=["B4", "B8"]))
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    for bands, options in (([0, 1], {}), ([1], {"bands": "B8"})):
+        rows = spark.read.format("geotiff").options(strips=3, **options).load(str(tmp_path))
+        assert rows.rdd.getNumPartitions() <= 2 * geotiff.PACKS
+        got = sorted((r["path"].rsplit("/", 1)[1], r["band"] - 1, r["y"], r["x"], r["value"]) for r in rows.collect())
+        assert got == sorted((name, b, y, x, a[b, y, x]) for name, a in made.items() for b in bands for y in range(a.shape[1]) for x in range(a.shape[2]))
+    big, small = [("big", 1 << 33)], [(str(k), 100) for k in range(5000)]
+    packs = geotiff.packed([*big, *small], 18)
+    assert sorted((f, k) for p in packs for f, a, b in p for k in range(a, b)) == sorted((f, k) for f, _ in [*big, *small] for k in range(18))
+    assert all(len(p) == 1 and p[0][2] - p[0][1] == 1 for p in packs[:17]) and len(packs) < 30
